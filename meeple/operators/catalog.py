@@ -154,9 +154,17 @@ def hydrate_recommendations(users: DataFrame, recs: DataFrame, games: DataFrame)
 
 def with_own_rating(pairs: DataFrame, reviews: DataFrame,
                     user_col: str = "user_id", game_col: str = "game_id") -> DataFrame:
-    """Attach the user's own rating of the game; signed out or unrated -> null."""
+    """Attach the user's own rating of the game; signed out or unrated -> null.
+
+    Signed-out rows (null user) cannot match, so they bypass the join: all
+    null keys would otherwise hash into one shuffle partition, and signed-out
+    views may be a large share of all views.
+    """
     r = reviews.select(F.col("user_id").alias(user_col), F.col("id").alias(game_col), "rating")
-    return pairs.join(r, [user_col, game_col], "left")
+    known = pairs.filter(F.col(user_col).isNotNull() & F.col(game_col).isNotNull())
+    unknown = pairs.filter(F.col(user_col).isNull() | F.col(game_col).isNull())
+    matched = known.join(r, [user_col, game_col], "left")
+    return matched.unionByName(unknown.withColumn("rating", F.lit(None).cast("double")))
 
 
 # --- P7 -------------------------------------------------------------------

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meeple.functions import text
+from meeple.operators.dense_ids import global_positions
 
 # Page sizes of the catalogue listings and the profile page.
 GAMES_PER_PAGE = 10
@@ -86,6 +87,23 @@ def most_popular(games: DataFrame, page_no: int = 1, nulls: str = "first") -> Da
                 ordered_by("usersrated", True, nulls == "first"), page_no)
 
 
+def ranking(df: DataFrame, order: Sequence[Column], pos_col: str = "pos") -> DataFrame:
+    """The whole ranking with exact 1-based positions, for deep pages.
+
+    ``page`` keeps offset+limit rows per task, fine for the first pages; a
+    ranking table written once serves any page as a filter on ``pos``
+    (pushed down to the Parquet scan).
+    """
+    return global_positions(df, order, pos_col)
+
+
+def page_of_ranking(ranked: DataFrame, page_no: int, per_page: int = GAMES_PER_PAGE,
+                    pos_col: str = "pos") -> DataFrame:
+    n = _page_number(page_no)
+    lo, hi = (n - 1) * per_page, n * per_page
+    return ranked.filter((F.col(pos_col) > lo) & (F.col(pos_col) <= hi))
+
+
 def page_info(df: DataFrame, page_no: int, per_page: int = GAMES_PER_PAGE,
               by: Sequence[str] = ()) -> DataFrame:
     """A10: total rows, number of pages and next/prev flags for a page.

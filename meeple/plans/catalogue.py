@@ -47,6 +47,11 @@ def most_popular_page(spark, d):
     return catalog.most_popular(fx.games(spark, d), LISTING_PAGE)
 
 
+def rated_ranking(spark, d):
+    g = fx.games(spark, d).select("id", "average")
+    return catalog.ranking(g, catalog.ordered_by("average", True, True))
+
+
 def page_info(spark, d):
     return catalog.page_info(fx.games(spark, d), INFO_PAGE)
 
@@ -241,6 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_ranked_page": top_ranked_page,
     "top_rated_page": top_rated_page,
     "most_popular_page": most_popular_page,
+    "rated_ranking": rated_ranking,
     "page_info": page_info,
     "profile_page_info": profile_page_info,
     "search_games": search_games,

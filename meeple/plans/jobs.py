@@ -76,6 +76,7 @@ def run_recommendations(spark: SparkSession, reviews: DataFrame,
         jdbc.write_replace(out, jdbc_url, jdbc_table, jdbc_props)
     rmse = res.rmse.first()["rmse"]
     published = (spark.read.parquet(parquet_path) if parquet_path else out).select("user_id").distinct().count()
+    res.release()
     return {"rmse": rmse, "users": published}
 
 

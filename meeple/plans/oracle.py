@@ -150,6 +150,8 @@ ORACLE: dict[str, str] = {
     "top_ranked_page": _with(["fx_games"], _page("board_game_rank", "board_game_rank ASC NULLS LAST", 10)),
     "top_rated_page": _with(["fx_games"], _page("average", "average DESC NULLS FIRST", 10)),
     "most_popular_page": _with(["fx_games"], _page("usersrated", "usersrated DESC NULLS FIRST", 10)),
+    "rated_ranking": _with(["fx_games"], """
+SELECT id, average, row_number() OVER (ORDER BY average DESC NULLS FIRST, id) AS pos FROM fx_games"""),
     "page_info": _with(["fx_games"], """
 SELECT total, CAST(ceil(total / 10.0) AS BIGINT) AS pages, 3 AS page,
        3 < ceil(total / 10.0) AS has_next, true AS has_prev

@@ -58,8 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Read from the session (``spark.checkpoint.dir`` or the SparkContext's
-    checkpoint dir). Only when neither is set (tests, a laptop) a private
-    folder is created and registered.
+    checkpoint dir). Only when neither is set on a local master (tests, a
+    laptop) a private folder is created; on a cluster that is an error, as a
+    machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                           "for checkpoints and scratch tables")
     own = tempfile.mkdtemp(prefix="meeple-ckpt-")
     sc.setCheckpointDir(own)
     return sc.getCheckpointDir() or own

@@ -76,3 +76,17 @@ def test_with_own_rating(spark):
     reviews = spark.createDataFrame([(5, 7, 9.0)], "user_id int, id int, rating double")
     got = {r["event_id"]: r["rating"] for r in catalog.with_own_rating(pairs, reviews).collect()}
     assert got == {1: None, 2: 9.0, 3: None}
+
+
+def test_ranking_positions_and_deep_page(spark):
+    rows = [(i, "g", None, float(i % 7) if i % 5 else None, None) for i in range(200)]
+    g = _games(spark, rows)
+    order = catalog.ordered_by("average", True, True)
+    ranked = catalog.ranking(g.select("id", "average"), order)
+    got = sorted((r["pos"], r["id"]) for r in ranked.collect())
+    key = lambda r: (r[3] is not None, -(r[3] or 0), r[0])
+    want = [(i + 1, r[0]) for i, r in enumerate(sorted(rows, key=key))]
+    assert got == want
+    page = catalog.page_of_ranking(ranked, 7).orderBy("pos").collect()
+    direct = catalog.top_rated(g, 7).orderBy("pos").collect()
+    assert [r["id"] for r in page] == [r["id"] for r in direct]

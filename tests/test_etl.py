@@ -27,14 +27,14 @@ def test_dense_ids_are_exactly_0_to_n_minus_1_in_order(spark):
     rnd = random.Random(3)
     vals = rnd.sample(range(10_000_000), 3000)
     df = spark.createDataFrame([(v,) for v in vals], "v long")
-    out = dense_ids(df, "v", "rid", buckets=7).collect()
+    out = dense_ids(df, "v", "rid", partitions=7).collect()
     by_v = sorted((r["v"], r["rid"]) for r in out)
     assert [rid for _, rid in by_v] == list(range(len(vals)))
 
 
 def test_dense_ids_plan_has_no_single_partition_window_over_rows(spark):
     df = spark.range(1000).withColumnRenamed("id", "v")
-    out = dense_ids(df, "v", "rid", buckets=4)
+    out = dense_ids(df, "v", "rid", partitions=4)
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the only SinglePartition exchange is the one over the per-bucket counts
     assert plan.count("SinglePartition") <= 1

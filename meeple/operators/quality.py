@@ -43,3 +43,31 @@ def orphan_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_ke
     """Q2 summary: missing parent key -> number of child rows pointing at it."""
     return (orphans(child, child_key, parent, parent_key)
             .groupBy(child_key).agg(F.count(F.lit(1)).alias("n")))
+
+
+def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Q1 + Q2 over every declared key: (check, key, n) per violation.
+
+    ``key`` is the offending key as text (parts joined by ','); ``n`` is the
+    number of rows holding a duplicate key, or pointing at a missing parent.
+    Tables absent from ``tables`` are skipped.
+    """
+    parts = []
+    for name, keysets in UNIQUE_KEYS.items():
+        if name not in tables:
+            continue
+        for keys in keysets:
+            d = duplicate_keys(tables[name], keys)
+            parts.append(d.select(
+                F.lit(f"{name}({','.join(keys)}) unique").alias("check"),
+                F.concat_ws(",", *[F.col(k).cast("string") for k in keys]).alias("key"), "n"))
+    for child, ck, parent, pk in FOREIGN_KEYS:
+        if child not in tables or parent not in tables:
+            continue
+        o = orphan_counts(tables[child], ck, tables[parent], pk)
+        parts.append(o.select(F.lit(f"{child}.{ck} -> {parent}.{pk}").alias("check"),
+                              F.col(ck).cast("string").alias("key"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

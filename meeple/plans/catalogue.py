@@ -160,6 +160,18 @@ def orphan_reviews(spark, d):
                                  fx.games_detailed_raw(spark, d), "id")
 
 
+def constraint_violations(spark, d):
+    """Q1 + Q2 on the tables as loaded: reviews before de-duplication, the
+    first catalogue source as games (10 % of game ids are missing there)."""
+    tables = {
+        "users": fx.users(spark, d),
+        "games": fx.games_detailed_raw(spark, d),
+        "reviews": fx.ratings_log(spark, d),
+        "recommendations": _fixed_lists(spark, d),
+    }
+    return quality.constraint_report(tables)
+
+
 # --- recommendation lists: E5 J1 A2 T6 E6, J5 J6, J7 ------------------------------
 
 def _fixed_lists(spark, d):
@@ -263,6 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_users": new_users,
     "duplicate_reviews": duplicate_reviews,
     "orphan_reviews": orphan_reviews,
+    "constraint_violations": constraint_violations,
     "recs_popular_top5": recs_popular_top5,
     "recs_hydrated": recs_hydrated,
     "rating_enriched_views": rating_enriched_views,

@@ -217,6 +217,27 @@ WHERE user_id IS NOT NULL AND id IS NOT NULL GROUP BY user_id, id HAVING count(*
 SELECT id, count(*) AS n FROM fx_reviews
 WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM fx_games_detailed WHERE id IS NOT NULL)
 GROUP BY id"""),
+    "constraint_violations": _with(["fx_users", "fx_games_detailed", "fx_ratings_log", "fx_top5"], """
+SELECT 'users(user_id) unique' AS "check", CAST(user_id AS VARCHAR) AS key, count(*) AS n
+FROM fx_users WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(*) > 1
+UNION ALL
+SELECT 'users(email) unique', email, count(*) FROM fx_users WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1
+UNION ALL
+SELECT 'games(id) unique', CAST(id AS VARCHAR), count(*) FROM fx_games_detailed WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
+UNION ALL
+SELECT 'reviews(id,user_id) unique', CAST(id AS VARCHAR) || ',' || CAST(user_id AS VARCHAR), count(*)
+FROM fx_ratings_log WHERE id IS NOT NULL AND user_id IS NOT NULL GROUP BY id, user_id HAVING count(*) > 1
+UNION ALL
+SELECT 'recommendations(user_id) unique', CAST(user_id AS VARCHAR), count(*) FROM fx_top5 GROUP BY user_id HAVING count(*) > 1
+UNION ALL
+SELECT 'reviews.id -> games.id', CAST(id AS VARCHAR), count(*) FROM fx_ratings_log
+WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM fx_games_detailed WHERE id IS NOT NULL) GROUP BY id
+UNION ALL
+SELECT 'reviews.user_id -> users.user_id', CAST(user_id AS VARCHAR), count(*) FROM fx_ratings_log
+WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT user_id FROM fx_users) GROUP BY user_id
+UNION ALL
+SELECT 'recommendations.user_id -> users.user_id', CAST(user_id AS VARCHAR), count(*) FROM fx_top5
+WHERE user_id NOT IN (SELECT user_id FROM fx_users) GROUP BY user_id"""),
     "recs_popular_top5": _with(["fx_top5"], """
 SELECT user_id, array_to_string(lst, ',') AS recommendation_list FROM fx_top5"""),
     "recs_hydrated": _with(["fx_users", "fx_top5", "fx_games"], """

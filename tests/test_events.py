@@ -97,3 +97,31 @@ def test_stream_report_sink_writes_one_document_per_day(spark, tmp_dir):
     assert [d["date"] for d in parsed] == ["2024-01-01", "2024-01-02", "2024-01-03"]
     assert parsed[0]["user_counts"] == {"2024-01-01": 2}
     assert parsed[0]["game_views"] == {"0": 2, "1": 2}
+
+
+def test_running_totals_update_mode(spark, tmp_dir):
+    src = f"{tmp_dir}/landing"
+    os.makedirs(src)
+    spark.createDataFrame(_day_rows(0, [3, 4]), EV_SCHEMA).coalesce(1).write.parquet(f"{src}/a")
+    stream = daily.event_file_stream(spark, f"{src}/a", file_glob="*.parquet")
+    totals = daily.running_totals_stream(evops.parse_messages(daily.event_rows_to_messages(stream)))
+    q = (totals.writeStream.outputMode("update").format("memory").queryName("meeple_totals")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r["kind"], r["key"]): r["n"] for r in spark.sql("SELECT * FROM meeple_totals").collect()}
+    assert got[("game_viewed", "0")] == 4 and got[("user_created", "2024-01-03")] == 2
+
+
+def test_processing_time_days(spark, tmp_dir):
+    src = f"{tmp_dir}/landing"
+    os.makedirs(src)
+    spark.createDataFrame(_day_rows(0, [3]), EV_SCHEMA).coalesce(1).write.parquet(f"{src}/a")
+    stream = daily.event_file_stream(spark, f"{src}/a", file_glob="*.parquet")
+    msgs = daily.event_rows_to_messages(stream).withColumn("arrived", F.current_timestamp())
+    counts = daily.daily_counts_stream(evops.parse_messages(msgs), "0 seconds", time_col="arrived")
+    q = (counts.writeStream.outputMode("update").format("memory").queryName("meeple_proc")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    today = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
+    dates = {r["date"] for r in spark.sql("SELECT * FROM meeple_proc").collect()}
+    assert dates and all(d >= today[:8] for d in dates)

@@ -102,11 +102,13 @@ def register_users(existing: DataFrame, batch: DataFrame, order_col: str = "even
     ids max(user_id)+1, +2, ... in request order.
     """
     taken = existing.select("email").filter(F.col("email").isNotNull())
-    fresh = batch.filter(F.col("email").isNotNull()).join(taken, "email", "left_anti")
-    firsts = fresh.groupBy("email").agg(
-        F.min_by(F.struct(order_col, "username"), F.col(order_col)).alias("_r"))
-    accepted = firsts.select("email", F.col(f"_r.{order_col}").alias(order_col),
-                             F.col("_r.username").alias("username"))
+    # first request per email, combined map-side: a hot email reaches the
+    # join below as one row
+    firsts = (batch.filter(F.col("email").isNotNull()).groupBy("email")
+              .agg(F.min_by(F.struct(order_col, "username"), F.col(order_col)).alias("_r")))
+    fresh = firsts.join(taken, "email", "left_anti")
+    accepted = fresh.select("email", F.col(f"_r.{order_col}").alias(order_col),
+                            F.col("_r.username").alias("username"))
     top = existing.agg(F.max("user_id").alias("m")).first()["m"]
     start = 0 if top is None else int(top) + 1
     ids = dense_ids(accepted, order_col, "user_id", start=start)

@@ -32,3 +32,13 @@ def test_write_replace_keeps_table(spark, url):
     jdbc.write_replace(b, url, "recs", DRIVER)
     rows = spark.read.jdbc(url, "recs", properties=DRIVER).collect()
     assert [(r["USER_ID"] if "USER_ID" in r else r["user_id"]) for r in rows] == [3]
+
+
+def test_kafka_source_needs_connector(spark):
+    from meeple.sources import kafka
+    try:
+        kafka.read_events(spark, "localhost:1")
+    except Exception as e:  # the connector package is not on this classpath
+        assert "kafka" in str(e).lower()
+    else:  # pragma: no cover - only with the connector installed
+        pass

@@ -103,15 +103,12 @@ def run_rating_merge(spark: SparkSession, reviews_path: str, games_path: str, ba
 
 def run_daily_stream(messages: DataFrame, out_dir: str, checkpoint_dir: str,
                      available_now: bool = False, watermark: str = daily.WATERMARK):
-    """ST1-ST5 + S8: two sinks over one message stream.
+    """ST1-ST5 + S8: daily counts and daily documents from one message stream.
 
     ``messages`` is a streaming frame with key, value, timestamp (the Kafka
-    source of ``meeple.sources.kafka.read_events`` or a file stream). Returns
-    the two started queries (long-form counts, daily documents).
+    source of ``meeple.sources.kafka.read_events`` or a file stream). One
+    stateful query writes both outputs; it is returned started.
     """
     counts = daily.daily_counts_stream(evops.parse_messages(messages), watermark)
-    q1 = daily.start_counts_sink(counts, f"{out_dir}/daily_counts", f"{checkpoint_dir}/counts",
-                                 available_now=available_now)
-    q2 = daily.start_report_sink(counts, f"{out_dir}/daily_reports", f"{checkpoint_dir}/reports",
-                                 available_now=available_now)
-    return q1, q2
+    return daily.start_daily_sinks(counts, f"{out_dir}/daily_counts", f"{out_dir}/daily_reports",
+                                   checkpoint_dir, available_now=available_now)

@@ -67,10 +67,9 @@ def test_daily_stream_job_equals_batch(spark, tmp_dir):
     from meeple.streaming import daily
     stream = daily.event_file_stream(spark, SF_SMALL)
     msgs = daily.event_rows_to_messages(stream)
-    q1, q2 = jobs.run_daily_stream(msgs, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", available_now=True,
-                                   watermark="0 seconds")
-    q1.awaitTermination()
-    q2.awaitTermination()
+    q = jobs.run_daily_stream(msgs, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", available_now=True,
+                              watermark="0 seconds")
+    q.awaitTermination()
     got = {(str(r["date"]), r["kind"], r["key"], r["n"]) for r in spark.read.parquet(f"{tmp_dir}/out/daily_counts").collect()}
     from meeple.operators import events as evops
     batch = evops.daily_counts(evops.parse_messages(catalogue._messages(spark, SF_SMALL)))

@@ -112,13 +112,14 @@ def start_report_sink(counts: DataFrame, path: str, checkpoint: str,
 # --- sources ----------------------------------------------------------------------
 
 def event_file_stream(spark: SparkSession, folder: str, file_glob: str = "events.parquet",
-                      files_per_batch: int = 1) -> DataFrame:
-    """Event rows as a stream from parquet files landing in ``folder``."""
+                      files_per_batch: int | None = None) -> DataFrame:
+    """Event rows as a stream from parquet files landing in ``folder``
+    (all new files per micro-batch unless ``files_per_batch`` caps it)."""
     schema = spark.read.parquet(f"{folder.rstrip('/')}/{file_glob}").schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", file_glob)
-            .option("maxFilesPerTrigger", files_per_batch)
-            .parquet(folder))
+    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if files_per_batch:
+        r = r.option("maxFilesPerTrigger", files_per_batch)
+    return r.parquet(folder)
 
 
 def event_rows_to_messages(rows: DataFrame) -> DataFrame:

@@ -198,8 +198,8 @@ def rating_enriched_views(spark, d):
 # --- events: S7 E8 E11, E7 F6 A5 A6, ST3 -----------------------------------------
 
 def _messages(spark, d):
-    return evops.view_messages(fx.view_events(spark, d)).unionByName(
-        evops.registration_messages(fx.signup_events(spark, d)))
+    from meeple.streaming import daily
+    return daily.event_rows_to_messages(fx.table(spark, d, "events"))
 
 
 def event_messages(spark, d):

@@ -70,13 +70,14 @@ def write_daily(batch: DataFrame, batch_id: int, counts_path: str, reports_path:
     spark = batch.sparkSession
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    batch.persist()
+    # one task per closed day: one counts file and one document per day
+    days = batch.repartition("date").persist()
     try:
-        batch.write.mode("overwrite").partitionBy("date").parquet(counts_path)
-        docs = evops.report_json(evops.daily_report(batch))
+        days.write.mode("overwrite").partitionBy("date").parquet(counts_path)
+        docs = evops.report_json(evops.daily_report(days))
         docs.write.mode("overwrite").partitionBy("date").text(reports_path)
     finally:
-        batch.unpersist()
+        days.unpersist()
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
 
 
@@ -123,18 +124,24 @@ def event_file_stream(spark: SparkSession, folder: str, file_glob: str = "events
 
 
 def event_rows_to_messages(rows: DataFrame) -> DataFrame:
-    """Test-table event rows -> the messages the web application would send."""
-    rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
-    k = F.from_json(F.col("props"), "k int").getField("k")
-    views = rows.filter(F.col("event_type") == "view").select(
-        "event_id", "ts",
-        F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("int"))
-         .otherwise(F.col("user_id").cast("int")).alias("user_id"),
-        k.alias("game_id"))
-    signups = rows.filter(F.col("event_type") == "signup").select(
-        "event_id", "ts", F.col("user_id").cast("int").alias("user_id"),
-        F.concat(F.lit("n"), F.col("user_id").cast("string")).alias("username"))
-    return evops.view_messages(views).unionByName(evops.registration_messages(signups))
+    """Test-table event rows -> the messages the web application would send.
+
+    One pass over the rows: views become game_viewed messages (signed out
+    when event_id % 5 = 0), signups user_created messages; other kinds are
+    not sent.
+    """
+    from meeple.functions import text
+    etype = F.col("event_type")
+    is_view = etype == "view"
+    uid = F.when(is_view & (F.col("event_id") % 5 == 0), F.lit(None).cast("int")) \
+           .otherwise(F.col("user_id").cast("int"))
+    game = F.from_json(F.col("props"), "k int").getField("k")
+    username = F.concat(F.lit("n"), F.col("user_id").cast("string"))
+    value = F.when(is_view, ev.game_viewed_json(uid, game)) \
+             .otherwise(ev.user_created_json(uid, username))
+    return rows.filter(etype.isin("view", "signup")).select(
+        "event_id", text.key_text(uid).alias("key"), value.alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"))
 
 
 @dataclass

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meeple.functions import text
 from meeple.operators.dense_ids import global_positions
+from meeple.operators.joins import join_spreading_nulls
 
 # Page sizes of the catalogue listings and the profile page.
 GAMES_PER_PAGE = 10
@@ -162,7 +163,8 @@ def hydrate_recommendations(users: DataFrame, recs: DataFrame, games: DataFrame)
     exploded = flagged.select(
         "user_id", "has_recommendations",
         F.posexplode_outer("recommendation_list").alias("pos0", "id"))
-    with_games = exploded.join(games.select("id", "name"), "id", "left")
+    # users without a list carry a null id: spread them, do not pile them up
+    with_games = join_spreading_nulls(exploded, games.select("id", "name"), ["id"], "left")
     return with_games.select(
         "user_id", (F.col("pos0") + 1).cast("int").alias("pos"), "id", "name",
         "has_recommendations")
@@ -174,15 +176,12 @@ def with_own_rating(pairs: DataFrame, reviews: DataFrame,
                     user_col: str = "user_id", game_col: str = "game_id") -> DataFrame:
     """Attach the user's own rating of the game; signed out or unrated -> null.
 
-    Signed-out rows (null user) cannot match, so they bypass the join: all
-    null keys would otherwise hash into one shuffle partition, and signed-out
-    views may be a large share of all views.
+    Signed-out rows (null user) cannot match; their keys are spread over many
+    shuffle buckets instead of one, as signed-out views may be a large share
+    of all views.
     """
     r = reviews.select(F.col("user_id").alias(user_col), F.col("id").alias(game_col), "rating")
-    known = pairs.filter(F.col(user_col).isNotNull() & F.col(game_col).isNotNull())
-    unknown = pairs.filter(F.col(user_col).isNull() | F.col(game_col).isNull())
-    matched = known.join(r, [user_col, game_col], "left")
-    return matched.unionByName(unknown.withColumn("rating", F.lit(None).cast("double")))
+    return join_spreading_nulls(pairs, r, [user_col, game_col], "left")
 
 
 # --- P7 -------------------------------------------------------------------

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from meeple.functions import events as ev
 from meeple.functions import text
 from meeple.operators.dense_ids import dense_ids
+from meeple.operators.joins import join_spreading_nulls
 
 
 def split_known_games(batch: DataFrame, games: DataFrame, game_col: str = "id",
@@ -29,8 +30,8 @@ def split_known_games(batch: DataFrame, games: DataFrame, game_col: str = "id",
     if rating_col is not None:
         batch = batch.withColumn(rating_col, text.to_number(F.col(rating_col).cast("string")))
     ids = games.select(F.col("id").alias(game_col))
-    known = batch.join(ids, game_col, "left_semi")
-    unknown = batch.join(ids, game_col, "left_anti")
+    known = join_spreading_nulls(batch, ids, [game_col], "left_semi")
+    unknown = join_spreading_nulls(batch, ids, [game_col], "left_anti")
     if rating_col is not None:
         bad = F.col(rating_col).isNull()
         return known.filter(~bad), unknown.unionByName(known.filter(bad))

@@ -65,6 +65,10 @@ def search_games(spark, d):
     return catalog.search(fx.games(spark, d), SEARCH_TEXT).select("id", "name")
 
 
+def search_games_wildcard(spark, d):
+    return catalog.search(fx.games(spark, d), "r_ng", wildcards=True).select("id", "name")
+
+
 def game_display(spark, d):
     return catalog.display(fx.games(spark, d)).select("id", "rank_int", "average_2dp")
 
@@ -146,6 +150,19 @@ def game_stats_refreshed(spark, d):
     return g.select("id", "average", "usersrated")
 
 
+def game_stats_corrected(spark, d):
+    batch = _accepted_batch(spark, d)
+    base = fx.reviews(spark, d)
+    merged = ratings.upsert_ratings(base, batch)
+    g = ratings.refresh_game_stats(fx.games(spark, d), merged, batch, base, mode="corrected")
+    return g.select("id", "average", "usersrated")
+
+
+def new_user_messages(spark, d):
+    new = ratings.register_users(fx.users(spark, d), fx.signup_events(spark, d))
+    return ratings.user_created_messages(new)
+
+
 def new_users(spark, d):
     return ratings.register_users(fx.users(spark, d), fx.signup_events(spark, d)) \
                   .select("user_id", "username", "email")
@@ -184,6 +201,10 @@ def recs_popular_top5(spark, d):
     return recommend.list_text(_fixed_lists(spark, d))
 
 
+def recs_long(spark, d):
+    return recommend.lists_long(_fixed_lists(spark, d))
+
+
 def recs_hydrated(spark, d):
     recs = _fixed_lists(spark, d).filter(F.col("user_id") % 4 != 0)
     return catalog.hydrate_recommendations(fx.users(spark, d), recs, fx.games(spark, d))
@@ -262,6 +283,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_info": page_info,
     "profile_page_info": profile_page_info,
     "search_games": search_games,
+    "search_games_wildcard": search_games_wildcard,
     "game_display": game_display,
     "profile_ratings": profile_ratings,
     "games_rank_numeric": games_rank_numeric,
@@ -272,11 +294,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reviews_dense": reviews_dense,
     "reviews_upserted": reviews_upserted,
     "game_stats_refreshed": game_stats_refreshed,
+    "game_stats_corrected": game_stats_corrected,
     "new_users": new_users,
+    "new_user_messages": new_user_messages,
     "duplicate_reviews": duplicate_reviews,
     "orphan_reviews": orphan_reviews,
     "constraint_violations": constraint_violations,
     "recs_popular_top5": recs_popular_top5,
+    "recs_long": recs_long,
     "recs_hydrated": recs_hydrated,
     "rating_enriched_views": rating_enriched_views,
     "event_messages": event_messages,

@@ -111,6 +111,15 @@ WHERE user_name IS NOT NULL AND user_name <> '' AND rating IS NOT NULL AND id IS
 SELECT CAST(row_number() OVER (ORDER BY first_pos, user_name) - 1 AS INT) AS user_id,
        user_name AS username
 FROM (SELECT user_name, min(pos) AS first_pos FROM fx_clean_reviews GROUP BY user_name) t"""),
+    "fx_new_users": (("fx_users", "fx_signups"), """
+SELECT CAST((SELECT max(user_id) FROM fx_users) + row_number() OVER (ORDER BY event_id) AS INT) AS user_id,
+       username, email
+FROM (SELECT event_id, username, email,
+             row_number() OVER (PARTITION BY email ORDER BY event_id) AS rn
+      FROM fx_signups
+      WHERE email IS NOT NULL
+        AND email NOT IN (SELECT email FROM fx_users WHERE email IS NOT NULL)) t
+WHERE rn = 1"""),
     "fx_categories": (("fx_games_detailed",), """
 SELECT id, CASE WHEN boardgamecategory IS NULL THEN CAST([] AS VARCHAR[]) ELSE
   list_filter(
@@ -162,6 +171,8 @@ SELECT user_id, total, CAST(ceil(total / 5.0) AS BIGINT) AS pages, 2 AS page,
 FROM (SELECT user_id, count(*) AS total FROM fx_reviews GROUP BY user_id) t"""),
     "search_games": _with(["fx_games"], """
 SELECT id, name FROM fx_games WHERE lower(name) LIKE '%ring%'"""),
+    "search_games_wildcard": _with(["fx_games"], """
+SELECT id, name FROM fx_games WHERE name ILIKE '%r_ng%'"""),
     "game_display": _with(["fx_games"], """
 SELECT id, coalesce(CAST(trunc(board_game_rank) AS INT), 0) AS rank_int,
        floor(average * 100 + 0.5) / 100 AS average_2dp
@@ -201,15 +212,23 @@ FROM fx_games g LEFT JOIN (
     (SELECT id, count(*) AS inc FROM fx_accepted_batch GROUP BY id) b
     LEFT JOIN (SELECT id, avg(rating) AS avg_rating FROM fx_upserted GROUP BY id) a ON a.id = b.id
 ) t ON g.id = t.id"""),
-    "new_users": _with(["fx_users", "fx_signups"], """
-SELECT CAST((SELECT max(user_id) FROM fx_users) + row_number() OVER (ORDER BY event_id) AS INT) AS user_id,
-       username, email
-FROM (SELECT event_id, username, email,
-             row_number() OVER (PARTITION BY email ORDER BY event_id) AS rn
-      FROM fx_signups
-      WHERE email IS NOT NULL
-        AND email NOT IN (SELECT email FROM fx_users WHERE email IS NOT NULL)) t
-WHERE rn = 1"""),
+    "new_users": _with(["fx_new_users"], "SELECT user_id, username, email FROM fx_new_users"),
+    "new_user_messages": _with(["fx_new_users"], """
+SELECT CAST(user_id AS VARCHAR) AS key,
+       '{"event":"user_created","user_id":' || CAST(user_id AS VARCHAR) || ',"username":"' || username || '"}' AS value
+FROM fx_new_users"""),
+    "game_stats_corrected": _with(["fx_games", "fx_upserted", "fx_accepted_batch", "fx_reviews"], """
+SELECT g.id,
+       CASE WHEN t.id IS NULL THEN g.average ELSE t.avg_rating END AS average,
+       CASE WHEN t.id IS NULL THEN g.usersrated ELSE coalesce(g.usersrated, 0) + t.inc END AS usersrated
+FROM fx_games g LEFT JOIN (
+  SELECT b.id, coalesce(n.inc, 0) AS inc, a.avg_rating FROM
+    (SELECT DISTINCT id FROM fx_accepted_batch) b
+    LEFT JOIN (SELECT id, count(*) AS inc FROM (SELECT DISTINCT user_id, id FROM fx_accepted_batch) p
+               WHERE NOT EXISTS (SELECT 1 FROM fx_reviews r WHERE r.user_id = p.user_id AND r.id = p.id)
+               GROUP BY id) n ON n.id = b.id
+    LEFT JOIN (SELECT id, avg(rating) AS avg_rating FROM fx_upserted GROUP BY id) a ON a.id = b.id
+) t ON g.id = t.id"""),
     "duplicate_reviews": _with(["fx_ratings_log"], """
 SELECT user_id, id, count(*) AS n FROM fx_ratings_log
 WHERE user_id IS NOT NULL AND id IS NOT NULL GROUP BY user_id, id HAVING count(*) > 1"""),
@@ -240,6 +259,8 @@ SELECT 'recommendations.user_id -> users.user_id', CAST(user_id AS VARCHAR), cou
 WHERE user_id NOT IN (SELECT user_id FROM fx_users) GROUP BY user_id"""),
     "recs_popular_top5": _with(["fx_top5"], """
 SELECT user_id, array_to_string(lst, ',') AS recommendation_list FROM fx_top5"""),
+    "recs_long": _with(["fx_top5"], """
+SELECT user_id, CAST(generate_subscripts(lst, 1) AS INT) AS pos, unnest(lst) AS game_id FROM fx_top5"""),
     "recs_hydrated": _with(["fx_users", "fx_top5", "fx_games"], """
 SELECT u.user_id, CAST(x.pos AS INT) AS pos, x.id, g.name,
        coalesce(len(r.lst) > 0, false) AS has_recommendations

@@ -40,13 +40,27 @@ def split_known_games(batch: DataFrame, games: DataFrame, game_col: str = "id",
 
 def upsert_ratings(base: DataFrame, batch: DataFrame,
                    order_cols: Sequence[str] = ("ts", "event_id"),
-                   keys: Sequence[str] = ("user_id", "id")) -> DataFrame:
+                   keys: Sequence[str] = ("user_id", "id"),
+                   base_unique: bool = True) -> DataFrame:
     """Reviews after applying the batch, last write per (user_id, id) wins.
 
     Base rows come before every batch row; inside the batch ``order_cols``
     decide. ``max_by`` over the ordering struct is combined map-side, so a
     key repeated a million times is reduced before the shuffle.
+
+    With ``base_unique`` (the table's primary key holds) only the batch is
+    aggregated: base rows whose key the batch touches are dropped by an
+    anti join against the batch keys (a broadcast when the batch is small)
+    and the latest batch rows are appended, so the large table is scanned
+    once and never shuffled or sorted. Otherwise base and batch are unioned
+    and reduced together, which also removes duplicate base keys.
     """
+    if base_unique:
+        latest = (batch.groupBy(*keys)
+                  .agg(F.max_by(F.col("rating").cast("double"),
+                                F.struct(*[F.col(c) for c in order_cols])).alias("rating")))
+        kept = base.select("rating", *keys).join(latest.select(*keys), list(keys), "left_anti")
+        return kept.unionByName(latest.select("rating", *keys))
     first = batch.select(*[F.col(c) for c in order_cols])
     null_order = [F.lit(None).cast(f.dataType).alias(f.name) for f in first.schema.fields]
     b = base.select(*keys, "rating",

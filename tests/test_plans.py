@@ -27,6 +27,8 @@ def test_upsert_combines_map_side(spark):
                                          "TIMESTAMP'2024-01-01 00:00:00' AS ts", "id AS event_id")
     plan = _plan(ratings.upsert_ratings(base, batch))
     assert "partial_max_by" in plan
+    # the base table is only scanned and anti-joined against the batch keys
+    assert "LeftAnti" in plan
 
 
 def test_duplicate_and_popularity_counts_combine_map_side(spark):

@@ -24,6 +24,8 @@ def test_upsert_is_idempotent_and_last_wins(spark, base, batch):
                               "user_id int, id int, rating double, ts timestamp, event_id long")
     once = ratings.upsert_ratings(b, n)
     twice = ratings.upsert_ratings(once, n)
+    agg = ratings.upsert_ratings(b, n, base_unique=False)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, agg.select(*once.columns).collect()))
     got = {(r["user_id"], r["id"]): r["rating"] for r in once.collect()}
     assert got == {(r["user_id"], r["id"]): r["rating"] for r in twice.collect()}
     want = dict(base)

@@ -5,14 +5,25 @@ from meeple.operators import ratings
 T0 = dt.datetime(2024, 1, 1)
 
 
-def test_upsert_last_write_wins_and_is_idempotent(spark):
-    base = spark.createDataFrame([(5.0, 1, 1)], "rating double, id int, user_id int")
+import pytest
+
+
+@pytest.mark.parametrize("base_unique", [True, False])
+def test_upsert_last_write_wins_and_is_idempotent(spark, base_unique):
+    base = spark.createDataFrame([(5.0, 1, 1), (3.0, 2, 1)], "rating double, id int, user_id int")
     batch = spark.createDataFrame([(1, 1, 7.0, T0, 1), (1, 1, 6.0, T0 + dt.timedelta(1), 2)],
                                   "user_id int, id int, rating double, ts timestamp, event_id long")
-    once = ratings.upsert_ratings(base, batch)
-    assert [(r["user_id"], r["id"], r["rating"]) for r in once.collect()] == [(1, 1, 6.0)]
-    twice = ratings.upsert_ratings(once, batch)
-    assert [(r["user_id"], r["id"], r["rating"]) for r in twice.collect()] == [(1, 1, 6.0)]
+    once = ratings.upsert_ratings(base, batch, base_unique=base_unique)
+    got = sorted((r["user_id"], r["id"], r["rating"]) for r in once.collect())
+    assert got == [(1, 1, 6.0), (1, 2, 3.0)]
+    twice = ratings.upsert_ratings(once, batch, base_unique=base_unique)
+    assert sorted((r["user_id"], r["id"], r["rating"]) for r in twice.collect()) == got
+
+
+def test_upsert_repairs_duplicate_base_keys_when_not_unique(spark):
+    base = spark.createDataFrame([(5.0, 1, 1), (4.0, 1, 1)], "rating double, id int, user_id int")
+    batch = spark.createDataFrame([], "user_id int, id int, rating double, ts timestamp, event_id long")
+    assert ratings.upsert_ratings(base, batch, base_unique=False).count() == 1
 
 
 def test_refresh_stats_parity_and_corrected(spark):

@@ -88,8 +88,11 @@ def refresh_game_stats(games: DataFrame, merged_reviews: DataFrame, batch: DataF
     elif mode == "corrected":
         if base_reviews is None:
             raise ValueError("corrected mode needs base_reviews")
-        new_pairs = (batch.select("user_id", "id").distinct()
-                     .join(base_reviews.select("user_id", "id"), ["user_id", "id"], "left_anti"))
+        pairs = batch.select("user_id", "id").distinct()
+        # the big table is filtered by the (small, broadcastable) batch keys,
+        # never shuffled whole; the anti join then runs small against small
+        seen = base_reviews.select("user_id", "id").join(pairs, ["user_id", "id"], "left_semi")
+        new_pairs = pairs.join(seen, ["user_id", "id"], "left_anti")
         inc = (batch.select("id").distinct()
                .join(new_pairs.groupBy("id").agg(F.count(F.lit(1)).alias("_inc")), "id", "left")
                .fillna(0, ["_inc"]))

@@ -124,7 +124,10 @@ def register_users(existing: DataFrame, batch: DataFrame, order_col: str = "even
     # join below as one row
     firsts = (batch.filter(F.col("email").isNotNull()).groupBy("email")
               .agg(F.min_by(F.struct(order_col, "username"), F.col(order_col)).alias("_r")))
-    fresh = firsts.join(taken, "email", "left_anti")
+    # the users table is only filtered by the batch's emails (a broadcastable
+    # semi join); the anti join then runs batch against batch-sized input
+    clashes = taken.join(firsts.select("email"), "email", "left_semi")
+    fresh = firsts.join(clashes, "email", "left_anti")
     accepted = fresh.select("email", F.col(f"_r.{order_col}").alias(order_col),
                             F.col("_r.username").alias("username"))
     top = existing.agg(F.max("user_id").alias("m")).first()["m"]

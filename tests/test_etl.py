@@ -84,3 +84,10 @@ def test_read_csv_by_position_and_null_tokens(spark, tmp_dir):
     assert rows[0]["user"] == "alice" and rows[0]["comment"] == "nice, really" and rows[0]["ID"] == 12
     assert rows[1]["user"] is None and rows[1]["comment"] is None
     assert etl.clean_reviews(df).count() == 1
+
+
+def test_dense_ids_empty_and_single(spark):
+    empty = spark.createDataFrame([], "v long")
+    assert dense_ids(empty, "v", "rid").count() == 0
+    one = spark.createDataFrame([(42,)], "v long")
+    assert [r["rid"] for r in dense_ids(one, "v", "rid", start=7).collect()] == [7]

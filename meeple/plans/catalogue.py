@@ -73,6 +73,16 @@ def game_display(spark, d):
     return catalog.display(fx.games(spark, d)).select("id", "rank_int", "average_2dp")
 
 
+def game_detail_display(spark, d):
+    """P7 on the detail page: the merged catalogue with its category list
+    joined by ', ' and the rating statistics of the games table."""
+    first = etl.clean_games_detailed(_raw_detailed(spark, d))
+    merged = etl.complete_games(first, etl.clean_games_list(_raw_list(spark, d)))
+    stats = fx.games(spark, d).select("id", "average")
+    g = merged.drop("average").join(stats, "id", "left")
+    return catalog.display(g).select("id", "rank_int", "average_2dp", "category_text")
+
+
 def profile_ratings(spark, d):
     return catalog.profile_ratings(fx.reviews(spark, d), fx.games(spark, d), PROFILE_PAGE)
 
@@ -285,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_games": search_games,
     "search_games_wildcard": search_games_wildcard,
     "game_display": game_display,
+    "game_detail_display": game_detail_display,
     "profile_ratings": profile_ratings,
     "games_rank_numeric": games_rank_numeric,
     "games_categories": games_categories,

@@ -177,6 +177,16 @@ SELECT id, name FROM fx_games WHERE name ILIKE '%r_ng%'"""),
 SELECT id, coalesce(CAST(trunc(board_game_rank) AS INT), 0) AS rank_int,
        floor(average * 100 + 0.5) / 100 AS average_2dp
 FROM fx_games"""),
+    "game_detail_display": _with(["fx_games_detailed", "fx_games_list", "fx_categories", "fx_games"], """
+SELECT m.id, coalesce(CAST(trunc(m.board_game_rank) AS INT), 0) AS rank_int,
+       floor(g.average * 100 + 0.5) / 100 AS average_2dp, m.category_text
+FROM (SELECT d.id, TRY_CAST(d.rank_text AS DOUBLE) AS board_game_rank,
+             array_to_string(c.category, ', ') AS category_text
+      FROM fx_games_detailed d JOIN fx_categories c ON d.id = c.id
+      UNION ALL
+      SELECT l.id, l.board_game_rank, '' AS category_text
+      FROM fx_games_list l WHERE l.id NOT IN (SELECT id FROM fx_games_detailed)) m
+LEFT JOIN fx_games g ON m.id = g.id"""),
     "profile_ratings": _with(["fx_reviews", "fx_games"], """
 SELECT r.user_id, CAST(r.pos AS INT) AS pos, r.id, g.name, r.rating
 FROM (SELECT user_id, id, rating,

@@ -144,8 +144,12 @@ def reviews_dense(spark, d):
 # --- U1-U3, Q1-Q2, F8 ---------------------------------------------------------
 
 def _accepted_batch(spark, d):
+    """The accepted rating batch, pinned once (it feeds the upsert, the stats
+    and the counts): a batch-sized reliable checkpoint in the shared folder."""
+    from meeple.session import checkpoint_dir
+    checkpoint_dir(spark)
     accepted, _ = ratings.split_known_games(fx.rating_batch(spark, d), fx.games(spark, d))
-    return accepted
+    return accepted.checkpoint(eager=True)
 
 
 def reviews_upserted(spark, d):

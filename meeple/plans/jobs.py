@@ -88,9 +88,13 @@ def run_rating_merge(spark: SparkSession, reviews_path: str, games_path: str, ba
     The inputs are read, the outputs written to ``out_dir``; the caller
     swaps table pointers afterwards.
     """
+    from meeple.session import checkpoint_dir
+    checkpoint_dir(spark)
     base = spark.read.parquet(reviews_path)
     games = spark.read.parquet(games_path)
     accepted, rejected = ratings.split_known_games(batch, games)
+    # read three times below: pin it once (batch-sized, reliable checkpoint)
+    accepted = accepted.checkpoint(eager=True)
     merged = ratings.upsert_ratings(base, accepted)
     files.write_table(merged, f"{out_dir}/reviews")
     merged_back = spark.read.parquet(f"{out_dir}/reviews")

@@ -42,3 +42,21 @@ def test_kafka_source_needs_connector(spark):
         assert "kafka" in str(e).lower()
     else:  # pragma: no cover - only with the connector installed
         pass
+
+
+def test_recommendation_job_publishes_long_form_over_jdbc(spark, url):
+    from meeple.operators import recommend
+    from meeple.plans import fixtures as fx, jobs
+    from conftest import SF_SMALL
+    params = recommend.AlsParams(min_reviews=25, max_iter=3)
+    out = jobs.run_recommendations(spark, fx.reviews(spark, SF_SMALL), params,
+                                   jdbc_url=url, jdbc_table="recs_long", jdbc_props=DRIVER,
+                                   long_form=True)
+    back = spark.read.jdbc(url, "recs_long", properties=DRIVER)
+    n1 = back.count()
+    assert n1 > 0 and out["users"] == back.select(back.columns[0]).distinct().count()
+    # a second run replaces the rows instead of appending
+    jobs.run_recommendations(spark, fx.reviews(spark, SF_SMALL), params,
+                             jdbc_url=url, jdbc_table="recs_long", jdbc_props=DRIVER, long_form=True)
+    again = spark.read.jdbc(url, "recs_long", properties=DRIVER)
+    assert again.count() == n1

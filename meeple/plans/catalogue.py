@@ -233,8 +233,7 @@ def rating_enriched_views(spark, d):
 # --- events: S7 E8 E11, E7 F6 A5 A6, ST3 -----------------------------------------
 
 def _messages(spark, d):
-    from meeple.streaming import daily
-    return daily.event_rows_to_messages(fx.table(spark, d, "events"))
+    return fx.event_messages(fx.table(spark, d, "events"))
 
 
 def event_messages(spark, d):

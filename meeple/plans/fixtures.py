@@ -209,15 +209,36 @@ def _k():
     return F.from_json(F.col("props"), "k int").getField("k")
 
 
+def _signed_in_user(is_view):
+    # a view with event_id % 5 = 0 is made by a signed-out visitor
+    return (F.when(is_view & (F.col("event_id") % 5 == 0), F.lit(None).cast("int"))
+            .otherwise(F.col("user_id").cast("int")))
+
+
+def event_messages(rows: DataFrame) -> DataFrame:
+    """Event rows (batch or stream) -> the messages the web application sends.
+
+    One pass over the rows: views become game_viewed messages, signups
+    user_created messages; other kinds are not sent.
+    """
+    from meeple.functions import events as ev
+    from meeple.functions import text
+    etype = F.col("event_type")
+    is_view = etype == "view"
+    uid = _signed_in_user(is_view)
+    username = F.concat(F.lit("n"), F.col("user_id").cast("string"))
+    value = F.when(is_view, ev.game_viewed_json(uid, _k())) \
+             .otherwise(ev.user_created_json(uid, username))
+    return rows.filter(etype.isin("view", "signup")).select(
+        "event_id", text.key_text(uid).alias("key"), value.alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"))
+
+
 def view_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views: (event_id, ts, user_id or null when signed out, game_id)."""
     e = events(spark, sf_dir).filter(F.col("event_type") == "view")
-    return e.select(
-        "event_id", "ts",
-        F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("int"))
-         .otherwise(F.col("user_id").cast("int")).alias("user_id"),
-        _k().alias("game_id"),
-    )
+    return e.select("event_id", "ts", _signed_in_user(F.lit(True)).alias("user_id"),
+                    _k().alias("game_id"))
 
 
 def signup_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,27 +123,6 @@ def event_file_stream(spark: SparkSession, folder: str, file_glob: str = "events
     return r.parquet(folder)
 
 
-def event_rows_to_messages(rows: DataFrame) -> DataFrame:
-    """Test-table event rows -> the messages the web application would send.
-
-    One pass over the rows: views become game_viewed messages (signed out
-    when event_id % 5 = 0), signups user_created messages; other kinds are
-    not sent.
-    """
-    from meeple.functions import text
-    etype = F.col("event_type")
-    is_view = etype == "view"
-    uid = F.when(is_view & (F.col("event_id") % 5 == 0), F.lit(None).cast("int")) \
-           .otherwise(F.col("user_id").cast("int"))
-    game = F.from_json(F.col("props"), "k int").getField("k")
-    username = F.concat(F.lit("n"), F.col("user_id").cast("string"))
-    value = F.when(is_view, ev.game_viewed_json(uid, game)) \
-             .otherwise(ev.user_created_json(uid, username))
-    return rows.filter(etype.isin("view", "signup")).select(
-        "event_id", text.key_text(uid).alias("key"), value.alias("value"),
-        F.col("ts").cast("timestamp").alias("timestamp"))
-
-
 @dataclass
 class StreamRun:
     counts: DataFrame
@@ -163,7 +142,8 @@ def run_test_stream(spark: SparkSession, sf_dir: str) -> StreamRun:
     if key in _RUNS:
         return _RUNS[key]
     base = scratch_path(spark, "daily-stream")
-    msgs = event_rows_to_messages(event_file_stream(spark, sf_dir))
+    from meeple.plans import fixtures
+    msgs = fixtures.event_messages(event_file_stream(spark, sf_dir))
     counts = daily_counts_stream(evops.parse_messages(msgs))
     q = start_daily_sinks(counts, f"{base}/counts", f"{base}/reports", f"{base}/_ckpt")
     q.awaitTermination()

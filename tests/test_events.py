@@ -6,6 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from meeple.operators import events as evops
+from meeple.plans import fixtures as fx
 from meeple.streaming import daily
 
 EV_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
@@ -64,14 +65,14 @@ def test_stream_late_file_does_not_change_emitted_days(spark, tmp_dir):
         os.rename(f"{tmp_dir}/f{n}/{part}", f"{src}/events_{n}.parquet")
         os.utime(f"{src}/events_{n}.parquet", (time.time() + n, time.time() + n))
     stream = daily.event_file_stream(spark, src, file_glob="*.parquet", files_per_batch=1)
-    counts = daily.daily_counts_stream(evops.parse_messages(daily.event_rows_to_messages(stream)))
+    counts = daily.daily_counts_stream(evops.parse_messages(fx.event_messages(stream)))
     q = daily.start_counts_sink(counts, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
     q.awaitTermination()
     out = spark.read.parquet(f"{tmp_dir}/out")
     got = {(str(r["date"]), r["kind"], r["key"]): r["n"] for r in out.collect()}
     # batch counts over the first two files only
     first_two = spark.createDataFrame(files[0] + files[1], EV_SCHEMA)
-    batch = evops.daily_counts(evops.parse_messages(daily.event_rows_to_messages(first_two)))
+    batch = evops.daily_counts(evops.parse_messages(fx.event_messages(first_two)))
     want = {(r["date"], r["kind"], r["key"]): r["n"] for r in batch.collect()}
     assert got, "no day was emitted"
     for k, n in got.items():
@@ -89,7 +90,7 @@ def test_stream_report_sink_writes_one_document_per_day(spark, tmp_dir):
     part = [f for f in os.listdir(f"{tmp_dir}/f0") if f.endswith(".parquet")][0]
     os.rename(f"{tmp_dir}/f0/{part}", f"{src}/events_0.parquet")
     stream = daily.event_file_stream(spark, src, file_glob="*.parquet")
-    counts = daily.daily_counts_stream(evops.parse_messages(daily.event_rows_to_messages(stream)))
+    counts = daily.daily_counts_stream(evops.parse_messages(fx.event_messages(stream)))
     q = daily.start_report_sink(counts, f"{tmp_dir}/reports", f"{tmp_dir}/ckpt")
     q.awaitTermination()
     docs = spark.read.text(f"{tmp_dir}/reports").collect()
@@ -104,7 +105,7 @@ def test_running_totals_update_mode(spark, tmp_dir):
     os.makedirs(src)
     spark.createDataFrame(_day_rows(0, [3, 4]), EV_SCHEMA).coalesce(1).write.parquet(f"{src}/a")
     stream = daily.event_file_stream(spark, f"{src}/a", file_glob="*.parquet")
-    totals = daily.running_totals_stream(evops.parse_messages(daily.event_rows_to_messages(stream)))
+    totals = daily.running_totals_stream(evops.parse_messages(fx.event_messages(stream)))
     q = (totals.writeStream.outputMode("update").format("memory").queryName("meeple_totals")
          .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -117,7 +118,7 @@ def test_processing_time_days(spark, tmp_dir):
     os.makedirs(src)
     spark.createDataFrame(_day_rows(0, [3]), EV_SCHEMA).coalesce(1).write.parquet(f"{src}/a")
     stream = daily.event_file_stream(spark, f"{src}/a", file_glob="*.parquet")
-    msgs = daily.event_rows_to_messages(stream).withColumn("arrived", F.current_timestamp())
+    msgs = fx.event_messages(stream).withColumn("arrived", F.current_timestamp())
     counts = daily.daily_counts_stream(evops.parse_messages(msgs), "0 seconds", time_col="arrived")
     q = (counts.writeStream.outputMode("update").format("memory").queryName("meeple_proc")
          .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())

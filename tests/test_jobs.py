@@ -66,7 +66,7 @@ def test_recommendation_job_long_form(spark, tmp_dir):
 def test_daily_stream_job_equals_batch(spark, tmp_dir):
     from meeple.streaming import daily
     stream = daily.event_file_stream(spark, SF_SMALL)
-    msgs = daily.event_rows_to_messages(stream)
+    msgs = fx.event_messages(stream)
     q = jobs.run_daily_stream(msgs, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", available_now=True,
                               watermark="0 seconds")
     q.awaitTermination()

@@ -116,8 +116,10 @@ def register_users(existing: DataFrame, batch: DataFrame, order_col: str = "even
 
     An email present in the table is refused; inside the batch the first
     request per email (by ``order_col``) wins and later ones are refused, as
-    the second request would find the first committed. Accepted users get
-    ids max(user_id)+1, +2, ... in request order.
+    the second request would find the first committed. A request without an
+    email is refused too (the reference's lookup by a missing email matches
+    the loaded users, whose emails are all empty). Accepted users get ids
+    max(user_id)+1, +2, ... in request order.
     """
     taken = existing.select("email").filter(F.col("email").isNotNull())
     # first request per email, combined map-side: a hot email reaches the

@@ -62,7 +62,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     laptop) a private folder is created; on a cluster that is an error, as a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the server owns the setting
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -1,6 +1,5 @@
 """The driver contract: every query runs, and matches its oracle at sf0.001."""
 
-import os
 
 import pytest
 

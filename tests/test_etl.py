@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from meeple import schemas
 from meeple.operators import etl

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from meeple.functions import events as ev
 from meeple.functions import text
 

@@ -1,9 +1,5 @@
 """Plan properties the scale design relies on."""
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from meeple.operators import quality, ratings, recommend
 from meeple.plans import catalogue
 

@@ -135,6 +135,11 @@ def users_dense_ids(spark, d):
     return etl.dense_user_ids(c, "pos")
 
 
+def users_loaded(spark, d):
+    c = etl.clean_reviews(_raw_reviews(spark, d))
+    return etl.users_table(etl.dense_user_ids(c, "pos"))
+
+
 def reviews_dense(spark, d):
     c = etl.clean_reviews(_raw_reviews(spark, d))
     ids = etl.dense_user_ids(c, "pos")
@@ -305,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "games_completed": games_completed,
     "reviews_clean": reviews_clean,
     "users_dense_ids": users_dense_ids,
+    "users_loaded": users_loaded,
     "reviews_dense": reviews_dense,
     "reviews_upserted": reviews_upserted,
     "game_stats_refreshed": game_stats_refreshed,

@@ -210,6 +210,8 @@ SELECT l.id, l.name, l.board_game_rank, CAST(NULL AS DOUBLE) AS yearpublished,
 FROM fx_games_list l WHERE l.id NOT IN (SELECT id FROM fx_games_detailed)"""),
     "reviews_clean": _with(["fx_clean_reviews"], "SELECT user_name, rating, id, pos FROM fx_clean_reviews"),
     "users_dense_ids": _with(["fx_dense_users"], "SELECT user_id, username FROM fx_dense_users"),
+    "users_loaded": _with(["fx_dense_users"],
+                          "SELECT user_id, username, CAST(NULL AS VARCHAR) AS email FROM fx_dense_users"),
     "reviews_dense": _with(["fx_clean_reviews", "fx_dense_users"], """
 SELECT c.rating, c.id, u.user_id FROM fx_clean_reviews c JOIN fx_dense_users u ON c.user_name = u.username"""),
     "reviews_upserted": _with(["fx_upserted"], "SELECT user_id, id, rating FROM fx_upserted"),

@@ -27,21 +27,38 @@ _LOADED: dict = {}
 
 def _loaded(spark: SparkSession, sf_dir: str, name: str):
     paths = _LOADED.get((id(spark), sf_dir)) or {}
-    return spark.read.parquet(paths[name]) if name in paths else None
+    if name not in paths:
+        return None
+    kind, ref = paths[name]
+    return spark.table(ref) if kind == "table" else spark.read.parquet(ref)
 
 
-def load_tables(spark: SparkSession, sf_dir: str) -> dict:
-    """Write ratings_log, reviews, games and users once; return their paths."""
+def load_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> dict:
+    """Write ratings_log, reviews, games and users once; return where they are.
+
+    Reviews are written bucketed by user_id (an external table whose files
+    live in the shared folder), so per-user windows and groupings read them
+    already clustered and skip their shuffle.
+    """
+    import uuid
     from meeple.session import scratch_path
     base = scratch_path(spark, "tables")
+    if buckets is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     paths: dict = {}
     # registered as soon as written: reviews read the written log, games the
     # written reviews
     for name, build in (("ratings_log", _ratings_log), ("reviews", _reviews),
                         ("users", _users), ("games", _games)):
         df = build(spark, sf_dir)
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
-        paths[name] = f"{base}/{name}"
+        if name == "reviews":
+            table_name = f"meeple_reviews_{uuid.uuid4().hex[:12]}"
+            (df.write.mode("overwrite").bucketBy(buckets, "user_id").sortBy("user_id")
+             .option("path", f"{base}/{name}").saveAsTable(table_name))
+            paths[name] = ("table", table_name)
+        else:
+            df.write.mode("overwrite").parquet(f"{base}/{name}")
+            paths[name] = ("path", f"{base}/{name}")
         _LOADED[(id(spark), sf_dir)] = dict(paths)
     return paths
 

@@ -24,7 +24,8 @@ def test_etl_job_matches_catalogue_queries(spark, tmp_dir):
     _dump(det, schemas.RAW_GAMES_DETAILED, f"{tmp_dir}/det")
     _dump(lst, schemas.RAW_GAMES_LIST, f"{tmp_dir}/lst")
     _dump(rev, schemas.RAW_REVIEWS, f"{tmp_dir}/rev")
-    out = jobs.run_etl(spark, f"{tmp_dir}/det", f"{tmp_dir}/lst", f"{tmp_dir}/rev", f"{tmp_dir}/out")
+    out = jobs.run_etl(spark, f"{tmp_dir}/det", f"{tmp_dir}/lst", f"{tmp_dir}/rev", f"{tmp_dir}/out",
+                       reviews_buckets=4, reviews_table="etl_test_reviews")
 
     users = {(r["user_id"], r["username"]) for r in spark.read.parquet(out.users).collect()}
     want = {(r["user_id"], r["username"]) for r in catalogue.users_dense_ids(spark, SF_SMALL).collect()}
@@ -35,8 +36,11 @@ def test_etl_job_matches_catalogue_queries(spark, tmp_dir):
                   tuple(r["category_text"].split("|")) if r["category_text"] else ())
                  for r in catalogue.games_completed(spark, SF_SMALL).collect())
     assert got == exp
-    reviews = spark.read.parquet(out.reviews)
+    reviews = spark.table("etl_test_reviews")
     assert reviews.count() == catalogue.reviews_dense(spark, SF_SMALL).count()
+    per_user = reviews.groupBy("user_id").count()
+    per_user.collect()
+    assert "Exchange" not in per_user._jdf.queryExecution().executedPlan().toString()
 
 
 def test_rating_merge_job(spark, tmp_dir):

@@ -90,3 +90,15 @@ def test_dense_ids_empty_and_single(spark):
     assert dense_ids(empty, "v", "rid").count() == 0
     one = spark.createDataFrame([(42,)], "v long")
     assert [r["rid"] for r in dense_ids(one, "v", "rid", start=7).collect()] == [7]
+
+
+def test_positions_spread_a_hot_leading_value(spark):
+    from meeple.operators.dense_ids import global_positions
+    rows = [(5, i) for i in range(1000)] + [(i, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "v long, t long")
+    out = global_positions(df, ["v", "t"], "pos", partitions=6)
+    sizes = out.rdd.glom().map(len).collect()
+    # a third of the rows share v = 5; the full key (v, t) still splits them
+    assert sum(sizes) == 3000 and max(sizes) < 1000
+    got = sorted((r["v"], r["t"], r["pos"]) for r in out.collect())
+    assert [p for *_, p in got] == list(range(1, 3001))

@@ -36,9 +36,10 @@ def _loaded(spark: SparkSession, sf_dir: str, name: str):
 def load_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> dict:
     """Write ratings_log, reviews, games and users once; return where they are.
 
-    Reviews are written bucketed by user_id (an external table whose files
-    live in the shared folder), so per-user windows and groupings read them
-    already clustered and skip their shuffle.
+    Reviews are written bucketed by user_id and the rating log by
+    (user_id, id) (external tables whose files live in the shared folder),
+    so per-user windows and per-pair groupings read them already clustered
+    and skip their shuffle.
     """
     import uuid
     from meeple.session import scratch_path
@@ -51,9 +52,10 @@ def load_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None) ->
     for name, build in (("ratings_log", _ratings_log), ("reviews", _reviews),
                         ("users", _users), ("games", _games)):
         df = build(spark, sf_dir)
-        if name == "reviews":
-            table_name = f"meeple_reviews_{uuid.uuid4().hex[:12]}"
-            (df.write.mode("overwrite").bucketBy(buckets, "user_id").sortBy("user_id")
+        bucket_cols = {"reviews": ("user_id",), "ratings_log": ("user_id", "id")}.get(name)
+        if bucket_cols:
+            table_name = f"meeple_{name}_{uuid.uuid4().hex[:12]}"
+            (df.write.mode("overwrite").bucketBy(buckets, *bucket_cols).sortBy(*bucket_cols)
              .option("path", f"{base}/{name}").saveAsTable(table_name))
             paths[name] = ("table", table_name)
         else:

@@ -66,7 +66,12 @@ def load_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None) ->
 
 
 def unload_tables(spark: SparkSession, sf_dir: str) -> None:
-    _LOADED.pop((id(spark), sf_dir), None)
+    """Forget the loaded tables and drop their catalogue entries (the files
+    of the external tables stay in the shared folder)."""
+    paths = _LOADED.pop((id(spark), sf_dir), None) or {}
+    for kind, ref in paths.values():
+        if kind == "table":
+            spark.sql(f"DROP TABLE IF EXISTS {ref}")
 
 
 def ratings_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,3 +81,16 @@ def test_daily_stream_job_equals_batch(spark, tmp_dir):
     assert got == want
     docs = spark.read.text(f"{tmp_dir}/out/daily_reports").count()
     assert docs == len({d for d, *_ in want})
+
+
+def test_load_tables_reads_back_and_unloads(spark):
+    loaded = fx.load_tables(spark, SF_SMALL)
+    try:
+        assert fx.reviews(spark, SF_SMALL).count() == fx._reviews(spark, SF_SMALL).count()
+        plan_src = fx.reviews(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem" not in plan_src
+    finally:
+        fx.unload_tables(spark, SF_SMALL)
+    names = [ref for kind, ref in loaded.values() if kind == "table"]
+    assert names and not any(spark.catalog.tableExists(n) for n in names)
+    assert "lineitem" in fx.reviews(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()

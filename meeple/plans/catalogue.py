@@ -279,6 +279,8 @@ def _model_run(spark, d):
     key = (id(spark), d)
     if key not in _MODEL_CACHE:
         params = recommend.AlsParams(min_reviews=TEST_MIN_REVIEWS)
+        for old in _MODEL_CACHE.values():
+            old.release()  # one model run kept per session: free the previous one
         _MODEL_CACHE.clear()
         _MODEL_CACHE[key] = recommend.recommend(fx.reviews(spark, d), params)
     return _MODEL_CACHE[key]

@@ -148,13 +148,19 @@ def reviews_dense(spark, d):
 
 # --- U1-U3, Q1-Q2, F8 ---------------------------------------------------------
 
+def _pinned(df):
+    """A reliable checkpoint in the shared folder, for small derived inputs
+    that a query reads more than once."""
+    from meeple.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _accepted_batch(spark, d):
     """The accepted rating batch, pinned once (it feeds the upsert, the stats
     and the counts): a batch-sized reliable checkpoint in the shared folder."""
-    from meeple.session import checkpoint_dir
-    checkpoint_dir(spark)
     accepted, _ = ratings.split_known_games(fx.rating_batch(spark, d), fx.games(spark, d))
-    return accepted.checkpoint(eager=True)
+    return _pinned(accepted)
 
 
 def reviews_upserted(spark, d):
@@ -203,7 +209,8 @@ def constraint_violations(spark, d):
         "users": fx.users(spark, d),
         "games": fx.games_detailed_raw(spark, d),
         "reviews": fx.ratings_log(spark, d),
-        "recommendations": _fixed_lists(spark, d),
+        # read by two checks: pinned once (at most 5 games per user)
+        "recommendations": _pinned(_fixed_lists(spark, d)),
     }
     return quality.constraint_report(tables)
 

@@ -48,3 +48,14 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [res.columns.index(c) for c in cols]
     o_rows = [tuple(r[i] for i in idx) for r in o_rows]
     assert _norm(df.collect()) == _norm(o_rows)
+
+
+def test_entry_module_loads_by_path(spark):
+    import importlib.util
+    import pathlib
+    path = pathlib.Path(__file__).resolve().parent.parent / "__spark_entry__.py"
+    spec = importlib.util.spec_from_file_location("entry_by_path", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    assert set(mod.oracle_sql()) <= set(mod.queries())
+    assert mod.queries()["page_info"](spark, SF_SMALL).count() == 1

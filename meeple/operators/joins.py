@@ -54,9 +54,9 @@ def join_spreading_nulls(left: DataFrame, right: DataFrame, on: Sequence[str],
     l2 = left.select("*", *lcols)
     r2 = right.select(*rcols, *[F.col(c) for c in right.columns if c not in on])
     out = l2.join(r2, keys, how).drop(*keys)
-    if how in ("left_semi", "left_anti"):
-        return out
     # column order as in left.join(right, on, how): keys, left rest, right rest
     rest_l = [c for c in left.columns if c not in on]
+    if how in ("left_semi", "left_anti"):
+        return out.select(*on, *rest_l)
     rest_r = [c for c in right.columns if c not in on]
     return out.select(*on, *rest_l, *rest_r)

@@ -50,3 +50,18 @@ def test_completed_ids_unique_and_union(spark, a, b):
     second = spark.createDataFrame([(i, "y", 1.0) for i in b], "id int, name string, board_game_rank double")
     ids = [r["id"] for r in etl.complete_games(first, second).collect()]
     assert len(ids) == len(set(ids)) and set(ids) == a | b
+
+
+@SETTINGS
+@given(left=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.integers(0, 3))),
+                     max_size=15),
+       right=st.sets(st.tuples(st.integers(0, 4), st.integers(0, 3)), max_size=8),
+       how=st.sampled_from(["left", "left_semi", "left_anti"]))
+def test_spreading_nulls_equals_plain_join(spark, left, right, how):
+    from meeple.operators.joins import join_spreading_nulls
+    l_df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(left)], "rid int, a int, b int")
+    r_df = spark.createDataFrame([(a, b, a * 10 + b) for a, b in right], "a int, b int, v int")
+    plain = l_df.join(r_df, ["a", "b"], how)
+    spread = join_spreading_nulls(l_df, r_df, ["a", "b"], how)
+    assert spread.columns == plain.columns
+    assert sorted(map(tuple, spread.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)

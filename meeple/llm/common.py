@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meeple.session import checkpoint_dir
+from meeple.session import checkpoint_dir, scratch_path
 
 #: Java/RE2 character class of the white space that every contract names
 SPACE = r"[\x20\x09-\x0D]+"
@@ -103,3 +103,11 @@ def worker_state(key: str, make):
     if key not in store:
         store[key] = make()
     return store[key]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back: for
+    wide or long rows, which a checkpoint would keep uncompressed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from meeple.llm import exact_dedup, mixing, sharding, token_counts
+from meeple.llm import exact_dedup, mixing, quality_rules, sharding, token_counts
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_quality_rules": quality_rules.op5_quality_rules,
     "op8_mixing": mixing.op8_mixing,
 }
 

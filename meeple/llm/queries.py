@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from meeple.llm import exact_dedup, mixing, quality_rules, sharding, token_counts
+from meeple.llm import exact_dedup, mixing, quality_rules, sharding, token_counts, toxicity
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_quality_rules": quality_rules.op5_quality_rules,

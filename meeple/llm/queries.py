@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meeple.llm import exact_dedup, maxent_lm, mixing, near_dedup, quality_rules, sharding, token_counts, toxicity
+from meeple.llm import exact_dedup, maxent_lm, mixing, near_dedup, piece_fst, quality_rules, sharding, token_counts, toxicity
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_maxent_lm": maxent_lm.op9_maxent_lm,
+    "op10_sentencepiece": piece_fst.op10_sentencepiece,
 }
 
 ORACLE = {

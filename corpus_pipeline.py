@@ -1,15 +1,83 @@
-"""The corpus pipeline: stages over ``documents``, each built on one operator."""
+"""The corpus pipeline: five stages over ``documents``, each built on one operator.
+
+Every stage takes the documents that the one before kept and returns the columns
+of ``documents`` (the last one adds piece ids). Null and repeated rows are treated
+as each operator's docstring says; an empty table passes through as one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meeple.llm.common import table
+from meeple.llm import exact_dedup, mixing, near_dedup, piece_fst, toxicity
+from meeple.llm.common import SPACE, pin, table
 from meeple.session import scratch_path
 
-STAGES: list = []
+BROADCAST_ROWS = 100_000  # ids with a digest (10 MB) up to which a join is broadcast
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """Marked for a broadcast if its size was found small enough, else as it is."""
+    small = rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(rows) if small else rows
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below one half."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_score(docs, model, "_toxicity").filter("_toxicity < 0.5").select(*docs.columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts."""
+    found = pin(exact_dedup.exact_groups(docs).select("doc_id", "text_sha256", "kept", "group_size"))
+    per_key = found.filter("group_size > 1").groupBy("doc_id", "text_sha256").agg(
+        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    gone = _few(per_key.filter("NOT stays OR n > 1").select(F.col("doc_id").alias("_id"),
+                                                            F.col("text_sha256").alias("_sha")))
+    digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ").cast("binary"), 256)
+    marked = docs.withColumn("_digest", digest)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
+    out = marked.join(gone, same, "left_anti")
+    repeated = per_key.filter("stays AND n > 1").select(F.col("doc_id").alias("_id"),
+                                                        F.col("text_sha256").alias("_sha"))
+    if repeated.limit(1).count():  # rows that repeat an id and its text: one of them
+        out = out.union(marked.join(_few(repeated), same, "left_semi").dropDuplicates(["doc_id", "_digest"]))
+    return out.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, and all that have none."""
+    gone = pin(near_dedup.near_groups(docs).filter("NOT kept")
+               .select(F.col("doc_id").alias("_id")).distinct())
+    return docs.join(_few(gone), F.col("doc_id") == F.col("_id"), "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; rows that repeat a doc_id are
+    taken as often as the one taken most."""
+    taken = (mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
+             .filter("_copies > 0").withColumnRenamed("doc_id", "_id"))
+    out = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
+                      ).select(*docs.columns)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns plus ``ids`` and ``n_pieces``."""
+    return piece_fst.with_ids(docs).withColumn("n_pieces", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode_pieces),
+]
 
-#: scoring by a trained model, verified near copies and tokenizer ids are not SQL
+#: a trained score, verified near copies and piece ids are not SQL
 ORACLE_SQL = None
 
 
@@ -18,7 +86,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder and read again as the next stage's documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
+        path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

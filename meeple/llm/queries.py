@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from meeple.llm import exact_dedup, maxent_lm, mixing, near_dedup, piece_fst, quality_rules, sharding, token_counts, toxicity
+from meeple.llm import (
+    exact_dedup,
+    html_extract,
+    maxent_lm,
+    mixing,
+    near_dedup,
+    piece_fst,
+    quality_rules,
+    sharding,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -10,6 +21,7 @@ QUERIES = {
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op6_html_extraction": html_extract.op6_html_extraction,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_maxent_lm": maxent_lm.op9_maxent_lm,

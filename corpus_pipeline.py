@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.llm import exact_dedup, mixing, near_dedup, piece_fst, toxicity
-from meeple.llm.common import SPACE, pin, table
+from meeple.llm.common import SPACE, fresh, pin, table
 from meeple.session import scratch_path
 
 BROADCAST_ROWS = 100_000  # ids with a digest (10 MB) up to which a join is broadcast
@@ -25,8 +25,8 @@ def _few(rows: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, model, "_toxicity").filter("_toxicity < 0.5").select(*docs.columns)
+    model, score = toxicity.train(docs, table(spark, sf_dir, "labels")), fresh("_score", docs)
+    return toxicity.with_score(docs, model, score).filter(F.col(score) < 0.5).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,34 +34,36 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = pin(exact_dedup.exact_groups(docs).select("doc_id", "text_sha256", "kept", "group_size"))
     per_key = found.filter("group_size > 1").groupBy("doc_id", "text_sha256").agg(
         F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
-    gone = _few(per_key.filter("NOT stays OR n > 1").select(F.col("doc_id").alias("_id"),
-                                                            F.col("text_sha256").alias("_sha")))
+    other_id, other_sha, mine = (fresh(c, docs) for c in ("_id", "_sha", "_digest"))
+    keys = [F.col("doc_id").alias(other_id), F.col("text_sha256").alias(other_sha)]
+    gone = _few(per_key.filter("NOT stays OR n > 1").select(*keys))
     digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ").cast("binary"), 256)
-    marked = docs.withColumn("_digest", digest)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
+    marked = docs.withColumn(mine, digest)
+    same = F.col("doc_id").eqNullSafe(F.col(other_id)) & (F.col(mine) == F.col(other_sha))
     out = marked.join(gone, same, "left_anti")
-    repeated = per_key.filter("stays AND n > 1").select(F.col("doc_id").alias("_id"),
-                                                        F.col("text_sha256").alias("_sha"))
+    repeated = per_key.filter("stays AND n > 1").select(*keys)
     if repeated.limit(1).count():  # rows that repeat an id and its text: one of them
-        out = out.union(marked.join(_few(repeated), same, "left_semi").dropDuplicates(["doc_id", "_digest"]))
+        out = out.union(marked.join(_few(repeated), same, "left_semi").dropDuplicates(["doc_id", mine]))
     return out.select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, and all that have none."""
+    other = fresh("_id", docs)
     gone = pin(near_dedup.near_groups(docs).filter("NOT kept")
-               .select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(_few(gone), F.col("doc_id") == F.col("_id"), "left_anti").select(*docs.columns)
+               .select(F.col("doc_id").alias(other)).distinct())
+    return docs.join(_few(gone), F.col("doc_id") == F.col(other), "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; rows that repeat a doc_id are
     taken as often as the one taken most."""
-    taken = (mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-             .filter("_copies > 0").withColumnRenamed("doc_id", "_id"))
-    out = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-                      ).select(*docs.columns)
+    other, copies, copy = (fresh(c, docs) for c in ("_id", "_copies", "_copy"))
+    taken = (mixing.mix(docs).groupBy(F.col("doc_id").alias(other)).agg(F.max("copies").alias(copies))
+             .filter(F.col(copies) > 0))
+    out = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(other)))
+    return (out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy))
+            .select(*docs.columns))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

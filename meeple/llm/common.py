@@ -25,6 +25,14 @@ def picked(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def pin(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder: cuts the lineage, survives lost
     executors, and fixes values that a later plan reads more than once."""

@@ -1,0 +1,65 @@
+import random
+import zlib
+
+import numpy as np
+from data import documents, empty, frame, sentence
+
+from meeple.llm import toxicity
+
+LABELS = "doc_id bigint, quality int, toxic int, text string"
+
+
+def marked(n=900):
+    r = random.Random(11)
+    docs, labels = [], []
+    for i in range(n):
+        bad = r.random() < 0.15
+        w = sentence(r, r.randint(20, 200)).split()
+        if bad:
+            for _ in range(max(2, len(w) // 50)):
+                w.insert(r.randint(0, len(w)), r.choice(["zorgle", "zorgling", "vexmo"]))
+        docs.append((i, " ".join(w), "en", "a", 0, 1, 1.0, 1))
+        if r.random() < 0.5:
+            labels.append((i, 1, int(bad), None))
+        docs[-1] = docs[-1][:5] + (int(bad), 1.0, 1)
+    return docs, labels
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = marked()
+    df = frame(spark, docs)
+    out = toxicity.toxicity(df, spark.createDataFrame(labels, LABELS)).collect()
+    truth = {d[0]: d[5] for d in docs}
+    assert len(out) == len(docs)
+    for r in out:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+    held = [r for r in out if r.held_out]
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.98
+    # labels of the held-out fold are not used
+    flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t, x) for i, q, t, x in labels]
+    again = toxicity.toxicity(df, spark.createDataFrame(flipped, LABELS)).collect()
+    assert sorted((r.doc_id, r.score) for r in out) == sorted((r.doc_id, r.score) for r in again)
+
+
+def test_nonnegative_risk_keeps_the_unlabelled_positives():
+    # feature 0: toxic; half of the toxic documents are only among the unlabelled
+    rng = np.random.RandomState(0)
+    n = 2000
+    toxic = rng.rand(n) < 0.2
+    noise = rng.rand(n) < 0.5
+    pos = (toxic & (rng.rand(n) < 0.5)).astype(float)
+    rows = np.concatenate([np.flatnonzero(toxic), np.flatnonzero(noise)])
+    cols = np.concatenate([np.zeros(toxic.sum(), int), np.ones(noise.sum(), int)])
+    b, w = toxicity.nnpu_fit(rows, cols, n, 2, pos, np.ones(n), prior=0.2)
+    assert b + w[0] > 1 and b < -1 and b + w[1] < -1
+
+
+def test_hard_rows(spark):
+    out = toxicity.toxicity(frame(spark), spark.createDataFrame([], LABELS)).collect()
+    assert len(out) == len(documents()) and all(r.predicted == 0 for r in out)
+    docs, labels = marked(200)
+    labels += [(None, None, None, None), (0, 1, None, None), labels[0]]
+    out = toxicity.toxicity(frame(spark, docs + documents()), spark.createDataFrame(labels, LABELS)).collect()
+    assert len(out) == len(docs) + len(documents())
+    assert toxicity.toxicity(empty(spark), spark.createDataFrame(labels, LABELS)).collect() == []

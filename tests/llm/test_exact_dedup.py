@@ -3,7 +3,7 @@ import re
 from collections import defaultdict
 
 import pytest
-from data import documents, empty, frame
+from llm_data import documents, empty, frame
 
 from meeple.llm import exact_dedup
 

@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 import pytest
-from data import documents, empty, frame
+from llm_data import documents, empty, frame
 from pyspark.sql import functions as F
 
 from meeple.llm import mixing

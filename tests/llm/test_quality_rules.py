@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
-from data import documents, empty, frame
+from llm_data import documents, empty, frame
 
 from meeple.llm import quality_rules as q
 

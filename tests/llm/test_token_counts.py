@@ -1,4 +1,4 @@
-from data import documents, empty, frame
+from llm_data import documents, empty, frame
 
 from meeple.llm import token_counts
 from meeple.llm.common import tokenizer_path

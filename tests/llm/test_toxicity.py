@@ -2,7 +2,7 @@ import random
 import zlib
 
 import numpy as np
-from data import documents, empty, frame, sentence
+from llm_data import documents, empty, frame, sentence
 
 from meeple.llm import toxicity
 

@@ -155,7 +155,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
                  F.lit((i + 0.5) / OFFSETS).alias("u")) for i in range(OFFSETS)]))["u"].alias("u"))
     groups = rated.join(best, KEY).select(*KEY, "size", "n", "rate", copies(F.col("u")).alias("take"))
 
-    numbered = with_gapless_number(sized.filter("size > 0"), [*KEY, "size"], "row",
+    numbered = with_gapless_number(sized.filter("size > 0"), [*KEY, "size"], "doc_id",
                                    [F.xxhash64("doc_id"), "doc_id", "row"], "k", blocks=64)
     given = (numbered.join(groups, [*KEY, "size"])
              .select("row", "rate", (F.floor((F.col("k") + 1) * F.col("take") / F.col("n"))

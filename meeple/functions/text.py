@@ -22,9 +22,22 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# a plain decimal number: a cast alone also takes "12d", "7f", "NaN" and "Infinity"
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def to_number(c) -> Column:
-    """Text -> double; text that is not a number gives null (never raises)."""
-    return _col(c).try_cast("double")
+    """Text -> double; text that is not a plain finite number gives null
+    (never raises, never NaN or an infinity)."""
+    c = _col(c).cast("string")
+    n = F.when(c.rlike(NUMBER), c.try_cast("double"))
+    return F.when(F.abs(n) < float("inf"), n)
+
+
+def finite(c) -> Column:
+    """A double that is not NaN, as pandas reads one; NaN becomes null."""
+    c = _col(c)
+    return F.when(~F.isnan(c), c)
 
 
 def null_tokens(c, tokens: Iterable[str] = ("",)) -> Column:

@@ -186,12 +186,21 @@ def with_own_rating(pairs: DataFrame, reviews: DataFrame,
 
 # --- P7 -------------------------------------------------------------------
 
+# The detail page's whole-number fields.
+DETAIL_INTS = ("yearpublished", "minplayers", "maxplayers", "playingtime", "minage", "usersrated")
+
+
 def display(games: DataFrame) -> DataFrame:
-    """Values as the detail and list pages show them."""
+    """Values as the detail and list pages show them: whole numbers for the
+    rank, year, players, time, age and number of raters, two decimals for the
+    averages, the category list as one text. Columns the table lacks are left out."""
     cols = [F.col("id"),
             text.int_or_zero("board_game_rank").alias("rank_int"),
             text.round_half_up_2("average").alias("average_2dp"),
             text.two_decimals_text("average").alias("average_text")]
+    cols += [text.int_or_zero(c).alias(f"{c}_int") for c in DETAIL_INTS if c in games.columns]
+    if "bayesaverage" in games.columns:
+        cols.append(text.two_decimals_text("bayesaverage").alias("bayesaverage_text"))
     if "category" in games.columns:
         cols.append(text.joined("category").alias("category_text"))
     return games.select(*cols)

@@ -3,32 +3,20 @@ without a list, rows without a game).
 
 A null key never matches, but a hash shuffle sends every null key to the
 same partition: if a third of the rows are signed out, one task gets a third
-of the data. Here a null key is replaced, for the join only, by a value no
-real key can take, spread over many buckets; the output keeps the original
-(null) key. One scan, one join, no hot partition.
+of the data. Here rows with a null key get a second join key, spread over many
+values; on the other side it is always 0. The keys themselves are untouched, so
+Spark compares them by its own rules (common type of both sides, decimals and
+strings included). One scan, one join, no hot partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 NULL_BUCKETS = 4096
-# integral keys are joined as long; real int keys never reach 2**40
-_INT_SALT_BASE = 1 << 40
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-
-
-def _spread_key(df: DataFrame, col: str, any_null: Column, salt: Column) -> tuple[Column, str]:
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
-        return F.when(any_null, F.lit(_INT_SALT_BASE) + salt).otherwise(F.col(col).cast("long")), "long"
-    # long and other keys: compared as text, the salted text cannot be a key
-    return (F.when(any_null, F.concat(F.lit("\u0000null:"), salt.cast("string")))
-            .otherwise(F.col(col).cast("string")), "string")
 
 
 def join_spreading_nulls(left: DataFrame, right: DataFrame, on: Sequence[str],
@@ -44,19 +32,10 @@ def join_spreading_nulls(left: DataFrame, right: DataFrame, on: Sequence[str],
     any_null = F.lit(False)
     for c in on:
         any_null = any_null | F.col(c).isNull()
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets))
-    lcols, rcols = [], []
-    for i, c in enumerate(on):
-        key, kind = _spread_key(left, c, any_null, salt)
-        lcols.append(key.alias(f"_jk{i}"))
-        rcols.append(F.col(c).cast(kind).alias(f"_jk{i}"))
-    keys = [f"_jk{i}" for i in range(len(on))]
-    l2 = left.select("*", *lcols)
-    r2 = right.select(*rcols, *[F.col(c) for c in right.columns if c not in on])
-    out = l2.join(r2, keys, how).drop(*keys)
-    # column order as in left.join(right, on, how): keys, left rest, right rest
-    rest_l = [c for c in left.columns if c not in on]
-    if how in ("left_semi", "left_anti"):
-        return out.select(*on, *rest_l)
-    rest_r = [c for c in right.columns if c not in on]
-    return out.select(*on, *rest_l, *rest_r)
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets))
+    # 0 on the right as a value of the row: a literal would be folded into a
+    # filter on the left and no longer be a join key
+    zero = F.pmod(F.xxhash64(*[F.col(c) for c in on]), F.lit(1))
+    l2 = left.withColumn("_spread", F.when(any_null, spread).otherwise(F.lit(0).cast("long")))
+    r2 = right.withColumn("_spread", zero)
+    return l2.join(r2, [*on, "_spread"], how).drop("_spread")

@@ -40,9 +40,30 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 
 
 def orphan_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Q2 summary: missing parent key -> number of child rows pointing at it."""
-    return (orphans(child, child_key, parent, parent_key)
-            .groupBy(child_key).agg(F.count(F.lit(1)).alias("n")))
+    """Q2 summary: missing parent key -> number of child rows pointing at it.
+
+    Children are counted per key first (combined map-side), so the join sees one
+    row per key instead of the whole child table.
+    """
+    per_key = (child.filter(F.col(child_key).isNotNull())
+               .groupBy(child_key).agg(F.count(F.lit(1)).alias("n")))
+    return orphans(per_key, child_key, parent, parent_key)
+
+
+def drop_duplicate_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Repair of Q1: one row per key, the last in ``order`` (ties: the greatest row).
+
+    ``max`` over a struct is combined map-side; rows with a null key part are
+    kept as they are, as a UNIQUE column allows them.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    has_null = F.lit(False)
+    for k in keys:
+        has_null = has_null | F.col(k).isNull()
+    first = F.struct(*order, *[c for c in rest if c not in order])
+    one = (df.filter(~has_null).groupBy(*keys).agg(F.max(first).alias("_r"))
+           .select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns]))
+    return one.unionByName(df.filter(has_null))
 
 
 def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:

@@ -20,11 +20,13 @@ from meeple.operators.joins import join_spreading_nulls
 
 
 def split_known_games(batch: DataFrame, games: DataFrame, game_col: str = "id",
-                      rating_col: str | None = "rating") -> tuple[DataFrame, DataFrame]:
+                      rating_col: str | None = "rating",
+                      bounds: tuple[float, float] | None = None) -> tuple[DataFrame, DataFrame]:
     """F8 + E10: (accepted, rejected) rows of a rating batch.
 
     A row is rejected when its game does not exist (the reference answers
-    404) or its rating text is not a number. Semi/anti joins on the game key;
+    404), its rating text is not a finite number, or the number is outside
+    ``bounds`` (the reference's form allows 1 to 10, its server any number). Semi/anti joins on the game key;
     Spark broadcasts the games side when AQE measures it small.
     """
     if rating_col is not None:
@@ -34,6 +36,8 @@ def split_known_games(batch: DataFrame, games: DataFrame, game_col: str = "id",
     unknown = join_spreading_nulls(batch, ids, [game_col], "left_anti")
     if rating_col is not None:
         bad = F.col(rating_col).isNull()
+        if bounds is not None:
+            bad = bad | ~F.col(rating_col).between(*bounds)
         return known.filter(~bad), unknown.unionByName(known.filter(bad))
     return known, unknown
 
@@ -50,9 +54,10 @@ def upsert_ratings(base: DataFrame, batch: DataFrame,
 
     With ``base_unique`` (the table's primary key holds) only the batch is
     aggregated: base rows whose key the batch touches are dropped by an
-    anti join against the batch keys (a broadcast when the batch is small)
-    and the latest batch rows are appended, so the large table is scanned
-    once and never shuffled or sorted. Otherwise base and batch are unioned
+    anti join against the batch keys and the latest batch rows are appended.
+    While AQE finds the batch keys small enough to broadcast, the large table is
+    scanned once and neither shuffled nor sorted; a larger batch makes it a
+    shuffle join of both. Otherwise base and batch are unioned
     and reduced together, which also removes duplicate base keys.
     """
     if base_unique:
@@ -119,7 +124,8 @@ def register_users(existing: DataFrame, batch: DataFrame, order_col: str = "even
     the second request would find the first committed. A request without an
     email is refused too (the reference's lookup by a missing email matches
     the loaded users, whose emails are all empty). Accepted users get ids
-    max(user_id)+1, +2, ... in request order.
+    max(user_id)+1, +2, ... in request order (1, 2, ... in an empty table, as a
+    serial column counts).
     """
     taken = existing.select("email").filter(F.col("email").isNotNull())
     # first request per email, combined map-side: a hot email reaches the
@@ -133,7 +139,7 @@ def register_users(existing: DataFrame, batch: DataFrame, order_col: str = "even
     accepted = fresh.select("email", F.col(f"_r.{order_col}").alias(order_col),
                             F.col("_r.username").alias("username"))
     top = existing.agg(F.max("user_id").alias("m")).first()["m"]
-    start = 0 if top is None else int(top) + 1
+    start = 1 if top is None else int(top) + 1
     ids = dense_ids(accepted, order_col, "user_id", start=start)
     return ids.select("user_id", "username", "email", order_col)
 

@@ -55,7 +55,8 @@ def load_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None) ->
         bucket_cols = {"reviews": ("user_id",), "ratings_log": ("user_id", "id")}.get(name)
         if bucket_cols:
             table_name = f"meeple_{name}_{uuid.uuid4().hex[:12]}"
-            (df.write.mode("overwrite").bucketBy(buckets, *bucket_cols).sortBy(*bucket_cols)
+            # dealt by the bucket key first: one file per bucket
+            (df.repartition(buckets, *bucket_cols).write.mode("overwrite").bucketBy(buckets, *bucket_cols).sortBy(*bucket_cols)
              .option("path", f"{base}/{name}").saveAsTable(table_name))
             paths[name] = ("table", table_name)
         else:
@@ -135,7 +136,13 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def games_detailed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First catalogue dump: category as list text, rank as text."""
+    """First catalogue dump as loaded: a tenth of the games is missing from it, so
+    that the second dump has games to add."""
+    return games_detailed_all(spark, sf_dir).filter(F.col("id") % 10 != 9)
+
+
+def games_detailed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first dump over the whole catalogue: category as list text, rank as text."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     key = F.col("p_partkey")
     q, dq = F.lit("'"), F.lit('"')
@@ -147,14 +154,25 @@ def games_detailed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("["), q, F.col("p_type"), q, F.lit(", "), q,
                             F.col("p_brand"), q, F.lit("]")))
     )
+    number = (key + 1).cast("string")
+    # texts that are no number, among them some that a plain cast would take for one
     rank_text = (F.when(key % 17 == 0, F.lit("Not Ranked"))
-                 .otherwise((key + 1).cast("string")))
-    return p.filter(key % 10 != 9).select(
+                 .when(key % 41 == 0, F.lit("NaN")).when(key % 43 == 0, F.lit("Infinity"))
+                 .when(key % 47 == 0, F.concat(number, F.lit("d")))
+                 .when(key % 53 == 0, F.concat(F.lit(" "), number, F.lit(".50 ")))
+                 .otherwise(number))
+    least = F.lit(1) + key % 4
+    return p.select(
         key.cast("int").alias("id"),
         F.col("p_name").alias("primary_name"),
         category.alias("boardgamecategory"),
         rank_text.alias("rank_text"),
         (F.lit(1990) + key % 35).cast("double").alias("yearpublished"),
+        least.cast("double").alias("minplayers"),
+        F.when(key % 23 != 0, least + key % 5).cast("double").alias("maxplayers"),
+        (key % 240 + 0.5).cast("double").alias("playingtime"),
+        F.when(key % 29 != 0, F.lit(8) + key % 10).cast("double").alias("minage"),
+        F.when(key % 31 != 0, (key % 1000).cast("double") / 100).alias("bayesaverage"),
     )
 
 
@@ -286,3 +304,34 @@ def rating_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor("value") % 10 + 1).cast("double").alias("rating"),
         "ts", "event_id",
     )
+
+
+def rating_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submitted ratings as form text: mostly numbers, some no number or out of bounds."""
+    b = rating_batch(spark, sf_dir)
+    e, n = F.col("event_id"), F.col("rating").cast("int").cast("string")
+    return b.withColumn("rating", F.when(e % 13 == 0, F.concat(n, F.lit("d")))
+                        .when(e % 17 == 0, F.lit("NaN")).when(e % 19 == 0, F.lit("999"))
+                        .when(e % 23 == 0, F.lit("abc")).when(e % 29 == 0, F.lit("")).otherwise(n))
+
+
+def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, some cut short, some views without a game, some with its id as text."""
+    m = event_messages(table(spark, sf_dir, "events"))
+    e, v = F.col("event_id"), F.col("value")
+    return m.withColumn("value", F.when(e % 31 == 0, F.substring(v, 1, 12))
+                        .when(e % 37 == 0, F.regexp_replace(v, r'"game_id":\d+', '"game_id":null'))
+                        .when(e % 41 == 0, F.regexp_replace(v, r'"game_id":(\d+)', '"game_id":"$1"'))
+                        .otherwise(v))
+
+
+def reviews_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw reviews as a wide dump: other column order, columns nobody asked for,
+    comments with newlines, quotes and commas, user names that are null tokens."""
+    r = reviews_raw(spark, sf_dir)
+    pos = F.col("pos")
+    comment = (F.when(pos % 5 == 0, F.concat(F.lit('first, "quoted"\n'), pos.cast("string"), F.lit(",mallory,9,\n")))
+               .when(pos % 7 == 0, F.lit('""')).otherwise(F.col("comment_text")))
+    user = (F.when(pos % 59 == 0, F.lit("NA")).when(pos % 61 == 0, F.lit("null")).otherwise(F.col("user_name")))
+    return r.select(pos.alias("_c0"), comment.alias("comment"), F.lit("x").alias("language"), "rating",
+                    F.col("id").alias("ID"), user.alias("user"), F.lit('a "b"').alias("name"))

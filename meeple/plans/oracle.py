@@ -7,6 +7,8 @@ pre-registered test tables, then states the query the plain SQL way
 
 from __future__ import annotations
 
+import re
+
 # --- fixture views (same rules as meeple.plans.fixtures) ------------------------
 
 _FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -25,16 +27,26 @@ SELECT CAST(c_custkey AS INT) AS user_id, c_name AS username,
        CASE WHEN c_custkey % 3 = 0 THEN NULL
             ELSE 'u' || CAST(c_custkey AS VARCHAR) || '@example.org' END AS email
 FROM customer"""),
-    "fx_games_detailed": ((), """
+    "fx_games_detailed_all": ((), """
 SELECT CAST(p_partkey AS INT) AS id, p_name AS primary_name,
        CASE WHEN p_partkey % 7 = 0 THEN NULL
             WHEN p_partkey % 11 = 0 THEN '[]'
             WHEN p_partkey % 13 = 0 THEN '[' || chr(34) || 'Collector' || chr(39) || 's Item' || chr(34) || ', ' || chr(39) || p_type || chr(39) || ']'
             ELSE '[' || chr(39) || p_type || chr(39) || ', ' || chr(39) || p_brand || chr(39) || ']' END AS boardgamecategory,
        CASE WHEN p_partkey % 17 = 0 THEN 'Not Ranked'
+            WHEN p_partkey % 41 = 0 THEN 'NaN' WHEN p_partkey % 43 = 0 THEN 'Infinity'
+            WHEN p_partkey % 47 = 0 THEN CAST(p_partkey + 1 AS VARCHAR) || 'd'
+            WHEN p_partkey % 53 = 0 THEN ' ' || CAST(p_partkey + 1 AS VARCHAR) || '.50 '
             ELSE CAST(p_partkey + 1 AS VARCHAR) END AS rank_text,
-       CAST(1990 + p_partkey % 35 AS DOUBLE) AS yearpublished
-FROM part WHERE p_partkey % 10 <> 9"""),
+       CAST(1990 + p_partkey % 35 AS DOUBLE) AS yearpublished,
+       CAST(1 + p_partkey % 4 AS DOUBLE) AS minplayers,
+       CASE WHEN p_partkey % 23 <> 0 THEN CAST(1 + p_partkey % 4 + p_partkey % 5 AS DOUBLE) END AS maxplayers,
+       CAST(p_partkey % 240 + 0.5 AS DOUBLE) AS playingtime,
+       CASE WHEN p_partkey % 29 <> 0 THEN CAST(8 + p_partkey % 10 AS DOUBLE) END AS minage,
+       CASE WHEN p_partkey % 31 <> 0 THEN CAST(p_partkey % 1000 AS DOUBLE) / 100 END AS bayesaverage
+FROM part"""),
+    "fx_games_detailed": (("fx_games_detailed_all",), """
+SELECT * FROM fx_games_detailed_all WHERE id % 10 <> 9"""),
     "fx_games_list": ((), """
 SELECT CAST(p_partkey AS INT) AS id, p_name AS name, CAST(p_partkey + 1 AS DOUBLE) AS board_game_rank
 FROM part WHERE p_partkey % 10 = 9 OR p_partkey % 5 = 0"""),
@@ -120,7 +132,7 @@ FROM (SELECT event_id, username, email,
       WHERE email IS NOT NULL
         AND email NOT IN (SELECT email FROM fx_users WHERE email IS NOT NULL)) t
 WHERE rn = 1"""),
-    "fx_categories": (("fx_games_detailed",), """
+    "fx_categories": (("fx_games_detailed_all",), """
 SELECT id, CASE WHEN boardgamecategory IS NULL THEN CAST([] AS VARCHAR[]) ELSE
   list_filter(
     list_transform(
@@ -128,7 +140,7 @@ SELECT id, CASE WHEN boardgamecategory IS NULL THEN CAST([] AS VARCHAR[]) ELSE
       lambda x: CASE WHEN length(x) >= 2 AND starts_with(x, chr(34)) AND ends_with(x, chr(34))
                      THEN substr(x, 2, length(x) - 2) ELSE trim(x) END),
     lambda x: x <> '') END AS category
-FROM fx_games_detailed"""),
+FROM fx_games_detailed_all"""),
 }
 
 
@@ -145,7 +157,14 @@ def _with(names: list[str], body: str) -> str:
     for n in names:
         visit(n)
     ctes = ",\n".join(f"{n} AS ({_FIXTURES[n][1]}\n)" for n in order)
-    return f"WITH {ctes}\n{body.strip()}"
+    return _num(f"WITH {ctes}\n{body.strip()}")
+
+
+# text that is a plain finite number, else null
+def _num(sql: str) -> str:
+    return re.sub(r"NUM\(([a-z_.]+)\)",
+                  r"CASE WHEN regexp_matches(\1, '^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$')"
+                  r" THEN TRY_CAST(trim(\1) AS DOUBLE) END", sql)
 
 
 def _page(metric: str, order: str, offset: int) -> str:
@@ -179,12 +198,19 @@ SELECT id, coalesce(CAST(trunc(board_game_rank) AS INT), 0) AS rank_int,
 FROM fx_games"""),
     "game_detail_display": _with(["fx_games_detailed", "fx_games_list", "fx_categories", "fx_games"], """
 SELECT m.id, coalesce(CAST(trunc(m.board_game_rank) AS INT), 0) AS rank_int,
-       floor(g.average * 100 + 0.5) / 100 AS average_2dp, m.category_text
-FROM (SELECT d.id, TRY_CAST(d.rank_text AS DOUBLE) AS board_game_rank,
-             array_to_string(c.category, ', ') AS category_text
+       floor(g.average * 100 + 0.5) / 100 AS average_2dp, m.category_text,
+       coalesce(CAST(trunc(m.yearpublished) AS INT), 0) AS yearpublished_int,
+       coalesce(CAST(trunc(m.minplayers) AS INT), 0) AS minplayers_int,
+       coalesce(CAST(trunc(m.maxplayers) AS INT), 0) AS maxplayers_int,
+       coalesce(CAST(trunc(m.playingtime) AS INT), 0) AS playingtime_int,
+       coalesce(CAST(trunc(m.minage) AS INT), 0) AS minage_int,
+       coalesce(CAST(g.usersrated AS INT), 0) AS usersrated_int,
+       printf('%.2f', m.bayesaverage) AS bayesaverage_text
+FROM (SELECT d.id, NUM(d.rank_text) AS board_game_rank, d.yearpublished, d.minplayers, d.maxplayers,
+             d.playingtime, d.minage, d.bayesaverage, array_to_string(c.category, ', ') AS category_text
       FROM fx_games_detailed d JOIN fx_categories c ON d.id = c.id
       UNION ALL
-      SELECT l.id, l.board_game_rank, '' AS category_text
+      SELECT l.id, l.board_game_rank, NULL, NULL, NULL, NULL, NULL, NULL, '' AS category_text
       FROM fx_games_list l WHERE l.id NOT IN (SELECT id FROM fx_games_detailed)) m
 LEFT JOIN fx_games g ON m.id = g.id"""),
     "profile_ratings": _with(["fx_reviews", "fx_games"], """
@@ -194,13 +220,13 @@ FROM (SELECT user_id, id, rating,
       FROM fx_reviews) r
 LEFT JOIN fx_games g ON r.id = g.id
 WHERE r.pos > 5 AND r.pos <= 10"""),
-    "games_rank_numeric": _with(["fx_games_detailed"], """
-SELECT id, TRY_CAST(rank_text AS DOUBLE) AS board_game_rank FROM fx_games_detailed"""),
+    "games_rank_numeric": _with(["fx_games_detailed_all"], """
+SELECT id, NUM(rank_text) AS board_game_rank FROM fx_games_detailed_all"""),
     "games_categories": _with(["fx_categories"], """
 SELECT id, array_to_string(category, '|') AS category_text, CAST(len(category) AS INT) AS n
 FROM fx_categories"""),
     "games_completed": _with(["fx_games_detailed", "fx_games_list", "fx_categories"], """
-SELECT d.id, d.primary_name AS name, TRY_CAST(d.rank_text AS DOUBLE) AS board_game_rank,
+SELECT d.id, d.primary_name AS name, NUM(d.rank_text) AS board_game_rank,
        d.yearpublished, array_to_string(c.category, '|') AS category_text,
        CAST(len(c.category) AS INT) AS n_categories
 FROM fx_games_detailed d JOIN fx_categories c ON d.id = c.id
@@ -277,9 +303,9 @@ SELECT user_id, CAST(generate_subscripts(lst, 1) AS INT) AS pos, unnest(lst) AS
 SELECT u.user_id, CAST(x.pos AS INT) AS pos, x.id, g.name,
        coalesce(len(r.lst) > 0, false) AS has_recommendations
 FROM fx_users u
-LEFT JOIN (SELECT * FROM fx_top5 WHERE user_id % 4 <> 0) r ON u.user_id = r.user_id
+LEFT JOIN fx_top5 r ON u.user_id = r.user_id
 LEFT JOIN (SELECT user_id, generate_subscripts(lst, 1) AS pos, unnest(lst) AS id
-           FROM fx_top5 WHERE user_id % 4 <> 0) x ON u.user_id = x.user_id
+           FROM fx_top5) x ON u.user_id = x.user_id
 LEFT JOIN fx_games g ON x.id = g.id"""),
     "rating_enriched_views": _with(["fx_views", "fx_reviews"], """
 SELECT v.event_id, v.user_id, v.game_id, r.rating
@@ -299,6 +325,45 @@ SELECT date,
 FROM fx_daily_counts GROUP BY date"""),
 }
 
+ORACLE["reviews_from_dump"] = _with(["fx_reviews_raw"], """
+SELECT user_name, rating, id, pos FROM fx_reviews_raw
+WHERE user_name IS NOT NULL AND rating IS NOT NULL AND id IS NOT NULL AND pos % 59 <> 0 AND pos % 61 <> 0""")
+ORACLE["categories_bulk_loaded"] = _with(["fx_categories"], r"""
+SELECT id,
+       CASE WHEN id % 3 = 0 THEN 'A, ' || id || '|C"D|{x}||back\slash|null|<null>| pad '
+            ELSE array_to_string(category, '|') END AS category_text,
+       CASE WHEN id % 3 = 0 THEN 8 ELSE CAST(len(category) AS INT) END AS n
+FROM fx_categories""")
+ORACLE["rating_texts_split"] = _with(["fx_rating_batch"], """
+SELECT event_id, num AS rating,
+       known AND num IS NOT NULL AND num BETWEEN 1 AND 10 AS accepted
+FROM (SELECT event_id, id IN (SELECT p_partkey FROM part) AS known,
+             CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN 999.0
+                  WHEN event_id % 23 = 0 OR event_id % 29 = 0 THEN NULL ELSE rating END AS num
+      FROM fx_rating_batch) t""")
+ORACLE["daily_documents"] = _with(["fx_daily_counts"], """
+SELECT date, '{"date":"' || date || '","user_counts":{'
+  || coalesce(string_agg(CASE WHEN kind = 'user_created' THEN '"' || key || '":' || n END, ',' ORDER BY key), '')
+  || '},"game_views":{'
+  || coalesce(string_agg(CASE WHEN kind = 'game_viewed' THEN '"' || key || '":' || n END, ',' ORDER BY key), '')
+  || '}}' AS json
+FROM fx_daily_counts GROUP BY date""")
+_FIXTURES["fx_broken"] = (("fx_messages",), r"""
+SELECT event_id, timestamp, kind, mkey,
+       event_id % 31 = 0 AS cut, event_id % 31 <> 0 AND event_id % 37 = 0 AND kind = 'game_viewed' AS no_game,
+       CASE WHEN event_id % 31 = 0 THEN substr(value, 1, 12)
+            WHEN event_id % 37 = 0 THEN regexp_replace(value, '"game_id":\d+', '"game_id":null')
+            WHEN event_id % 41 = 0 THEN regexp_replace(value, '"game_id":(\d+)', '"game_id":"\1"')
+            ELSE value END AS value
+FROM fx_messages""")
+ORACLE["dead_letters"] = _with(["fx_broken"], "SELECT event_id, value FROM fx_broken WHERE cut OR no_game")
+ORACLE["text_id_views"] = _with(["fx_broken"], """
+SELECT strftime(timestamp, '%Y-%m-%d') AS date, CAST(mkey AS INT) AS game_id, count(*) AS n
+FROM fx_broken WHERE kind = 'game_viewed' AND NOT cut AND NOT no_game GROUP BY 1, 2""")
+ORACLE["als_structure"] = _with(["fx_reviews"], """
+SELECT DISTINCT user_id, true AS at_most_five, true AS none_twice, true AS all_popular, true AS scores_fall,
+       true AS first_popular, true AS trained_only FROM fx_reviews""")
+
 # The stream emits a day once the 1-day watermark has passed its end.
 _CLOSED = "CAST(date AS DATE) + INTERVAL 1 DAY <= (SELECT max(timestamp) FROM fx_messages) - INTERVAL 1 DAY"
 ORACLE["stream_daily_game_views"] = _with(["fx_messages"], f"""

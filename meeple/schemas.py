@@ -54,7 +54,7 @@ RECOMMENDATIONS_LONG = T.StructType([
 EVENT = T.StructType([
     T.StructField("event", T.StringType(), True),
     T.StructField("user_id", T.IntegerType(), True),
-    T.StructField("game_id", T.IntegerType(), True),
+    T.StructField("game_id", T.StringType(), True),  # a number or its text
     T.StructField("username", T.StringType(), True),
 ])
 

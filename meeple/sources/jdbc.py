@@ -29,9 +29,11 @@ def key_bounds(spark: SparkSession, url: str, table: str, column: str,
 
 def read_partitioned(spark: SparkSession, url: str, table: str, column: str,
                      properties: dict | None = None, *, rows_per_partition: int = 1_000_000,
-                     max_partitions: int = 1000, fetchsize: int = 1000) -> DataFrame:
+                     max_partitions: int | None = None, fetchsize: int = 1000) -> DataFrame:
     """Range-partitioned read on a numeric column with measured bounds.
 
+    The number of tasks follows the row count, so a task's share stays the same;
+    ``max_partitions`` caps it only where the database allows no more readers.
     Bounds only set the strides; rows outside them still land in the first
     or last partition, so nothing is filtered.
     """
@@ -39,7 +41,9 @@ def read_partitioned(spark: SparkSession, url: str, table: str, column: str,
     props = _props(properties, fetchsize)
     if lo is None or hi is None or n == 0:
         return spark.read.jdbc(url, table, properties=props)
-    parts = max(1, min(max_partitions, -(-int(n) // rows_per_partition)))
+    parts = max(1, -(-int(n) // rows_per_partition))
+    if max_partitions:
+        parts = min(max_partitions, parts)
     if hi <= lo:
         parts = 1
     return spark.read.jdbc(url, table, column=column, lowerBound=int(lo),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,41 +45,78 @@ def running_totals_stream(parsed: DataFrame) -> DataFrame:
     return evops.countable(parsed).groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_reports(batch: DataFrame, batch_id: int, path: str) -> None:
-    """S8 + ST3: one JSON document per day in ``path/date=<day>/``.
+DAY_PARTS = 8  # files that one day's counts are spread over at most
 
-    Only the days of this micro-batch are replaced (dynamic partition
-    overwrite), so a replayed batch rewrites the same files: idempotent.
-    """
-    report = evops.daily_report(batch)
-    docs = evops.report_json(report)
-    spark = batch.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        docs.write.mode("overwrite").partitionBy("date").text(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+def _replace_days(df: DataFrame):
+    """A writer that replaces only the days it writes: a replay rewrites the same
+    files. The option is the writer's own, the session is left alone."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date")
+
+
+def write_reports(batch: DataFrame, batch_id: int, path: str) -> None:
+    """S8 + ST3: one JSON document per day in ``path/date=<day>/``."""
+    _replace_days(evops.report_json(evops.daily_report(batch))).text(path)
 
 
 def write_daily(batch: DataFrame, batch_id: int, counts_path: str, reports_path: str) -> None:
     """S8 for one micro-batch: long-form counts (Parquet) and daily documents.
 
     In append mode a micro-batch holds whole closed days, so replacing the
-    partitions of its days (dynamic overwrite) makes a replay idempotent.
+    partitions of its days makes a replay idempotent. A day's counts are spread
+    over several tasks; only its document, one JSON object, is made in one.
     """
-    spark = batch.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    # one task per closed day: one counts file and one document per day
-    days = batch.repartition("date").persist()
+    part = F.pmod(F.xxhash64("kind", "key"), F.lit(DAY_PARTS))
+    days = batch.repartition("date", part).persist()
     try:
-        days.write.mode("overwrite").partitionBy("date").parquet(counts_path)
-        docs = evops.report_json(evops.daily_report(days))
-        docs.write.mode("overwrite").partitionBy("date").text(reports_path)
+        _replace_days(days).parquet(counts_path)
+        write_reports(days, batch_id, reports_path)
     finally:
         days.unpersist()
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def start_dead_letter_sink(parsed: DataFrame, path: str, checkpoint: str,
+                           available_now: bool = True) -> StreamingQuery:
+    """Messages that no count takes, as they came (file sink: exactly-once)."""
+    w = (evops.dead_letters(parsed).select("key", "value", "timestamp")
+         .writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start(path)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows behind the watermark that the query dropped, over its reported progress
+    (counted after partial aggregation, so several late rows of one day and key in
+    one task count once)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p["stateOperators"])
+
+
+def flush_open_days(messages: DataFrame, counts_path: str, reports_path: str) -> DataFrame:
+    """End of a bounded run: the days that the watermark has not closed yet.
+
+    ``messages`` is the whole input as a batch frame. Days that the stream wrote
+    are left as they are; the others are counted and written to the same folders.
+    Returns the counts that were added.
+    """
+    counts = evops.daily_counts(evops.parse_messages(messages))
+    written = read_counts(messages.sparkSession, counts_path).select("date").distinct()
+    rest = counts.join(written, "date", "left_anti").persist()
+    write_daily(rest, -1, counts_path, reports_path)
+    return rest
+
+
+COUNTS = "kind string, key string, n long, date string"
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The written counts; no rows if no day was closed and the folder isn't there."""
+    try:
+        return spark.read.schema(COUNTS).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], COUNTS)
 
 
 def start_daily_sinks(counts: DataFrame, counts_path: str, reports_path: str, checkpoint: str,
@@ -131,31 +169,19 @@ class StreamRun:
     reports_path: str
 
 
-_RUNS: dict = {}
-
-
 def run_test_stream(spark: SparkSession, sf_dir: str) -> StreamRun:
     """Run the daily-count stream over the test events once (availableNow) and
     read back what the sinks wrote."""
+    from meeple.plans import fixtures
     from meeple.session import scratch_path
-    key = (id(spark), sf_dir)
-    if key in _RUNS:
-        return _RUNS[key]
     base = scratch_path(spark, "daily-stream")
-    from meeple.plans import fixtures
     msgs = fixtures.event_messages(event_file_stream(spark, sf_dir))
     counts = daily_counts_stream(evops.parse_messages(msgs))
     q = start_daily_sinks(counts, f"{base}/counts", f"{base}/reports", f"{base}/_ckpt")
     q.awaitTermination()
-    try:
-        out = spark.read.parquet(f"{base}/counts")
-    except Exception:  # no day closed yet: nothing was written
-        out = spark.createDataFrame([], "kind string, key string, n long, date string")
+    out = read_counts(spark, f"{base}/counts")
     views = out.filter(F.col("kind") == ev.GAME_VIEWED).select(
         F.col("date").cast("string").alias("date"), F.col("key").cast("int").alias("game_id"), "n")
     regs = out.filter(F.col("kind") == ev.USER_CREATED).select(
         F.col("date").cast("string").alias("date"), "n")
-    run = StreamRun(out, views, regs, f"{base}/reports")
-    _RUNS.clear()
-    _RUNS[key] = run
-    return run
+    return StreamRun(out, views, regs, f"{base}/reports")

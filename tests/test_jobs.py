@@ -70,7 +70,7 @@ def test_daily_stream_job_equals_batch(spark, tmp_dir):
     from meeple.streaming import daily
     stream = daily.event_file_stream(spark, SF_SMALL)
     msgs = fx.event_messages(stream)
-    q = jobs.run_daily_stream(msgs, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", available_now=True,
+    q, dead = jobs.run_daily_stream(msgs, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", available_now=True,
                               watermark="0 seconds")
     q.awaitTermination()
     got = {(str(r["date"]), r["kind"], r["key"], r["n"]) for r in spark.read.parquet(f"{tmp_dir}/out/daily_counts").collect()}

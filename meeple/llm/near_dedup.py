@@ -9,6 +9,9 @@
 3. The samples are folded into an odd sketch, a bitmap of parities. The XOR of two
    sketches counts the samples that differ, so candidates far below the wanted
    similarity are turned away before their texts are read.
+   A second odd sketch, of the whole set, bounds the symmetric difference from
+   below: with more odd bits than a link may have differences, a pair is no link for
+   certain.
 4. What is left is confirmed on the full sets. Links give components.
 """
 
@@ -27,7 +30,8 @@ from meeple.llm.common import picked, pin, stored, table, with_group_stats, word
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000 times
 SAMPLES = BANDS * ROWS
-SKETCH = 512  # bits of the odd sketch
+SKETCH = 512  # bits of the odd sketch of the samples
+BODY = 1024  # bits of the odd sketch of the whole set
 LARGE = 256  # members from which a bucket's residue is split by a second band
 BROADCAST_IDS = 1_000_000  # ids (8 MB) up to which the texts are filtered by a broadcast
 SLACK = 5.0  # standard deviations that the sketch filter leaves below the bound
@@ -86,17 +90,26 @@ def odd_sketch(least: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
+def odd_body(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """Bit j is the parity of the shingles that hash to j: two sets differ in at least
+    as many shingles as their bitmaps do in bits."""
+    odd = (np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def most_unlike_bits(percent: int, n_samples: int, bits: int, slack: float = SLACK) -> int:
     """Bits that may differ between sketches of sets at the wanted similarity: the
-    expectation plus ``slack`` standard deviations of samples and folding."""
+    expectation plus ``slack`` standard deviations of sampling and folding."""
     unlike = 1 - percent / 100
-    m = 2 * (n_samples * unlike + slack * math.sqrt(n_samples * unlike * (1 - unlike)))
-    share = (1 - (1 - 2 / bits) ** m) / 2
-    return math.ceil(bits * share + slack * math.sqrt(bits * share * (1 - share)) / 2)
+    m = 2 * n_samples * unlike
+    left = (1 - 2 / bits) ** m
+    sampling = 2 * math.sqrt(n_samples * unlike * (1 - unlike)) * left
+    folding = 2 * math.sqrt(m * m / 2 / bits)  # each two that fall on one bit cost two
+    return math.ceil(bits * (1 - left) / 2 + slack * math.hypot(sampling, folding))
 
 
 SIGNED = ("row bigint, doc_id bigint, sequence binary, n_shingles bigint, keys array<bigint>,"
-          " sketch array<bigint>")
+          " sketch array<bigint>, body array<bigint>")
 
 
 def _signed(width: int, bands: int, rows: int, bits: int):
@@ -104,7 +117,7 @@ def _signed(width: int, bands: int, rows: int, bits: int):
         import hashlib
         a, b_ = _constants(bands * rows, 1), _constants(bands * rows, 2)
         for b in batches:
-            out: dict[str, list] = {c: [] for c in ("sequence", "n_shingles", "keys", "sketch")}
+            out: dict[str, list] = {c: [] for c in ("sequence", "n_shingles", "keys", "sketch", "body")}
             for text in b.column("text").to_pylist():
                 found = _lowered(text)
                 s = shingle_set(found, width)
@@ -114,15 +127,16 @@ def _signed(width: int, bands: int, rows: int, bits: int):
                     least = samples(_mix(s), a, b_)
                     out["keys"].append(band_keys(least, bands))
                     out["sketch"].append(odd_sketch(least, bits))
+                    out["body"].append(odd_body(_mix(s), BODY))
                 else:
-                    out["keys"].append(None)
-                    out["sketch"].append(None)
+                    for c in ("keys", "sketch", "body"):
+                        out[c].append(None)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), b.column("doc_id"), pa.array(out["sequence"], pa.binary()),
                  pa.array(out["n_shingles"], pa.int64()), pa.array(out["keys"], longs),
-                 pa.array(out["sketch"], longs)],
-                names=["row", "doc_id", "sequence", "n_shingles", "keys", "sketch"])
+                 pa.array(out["sketch"], longs), pa.array(out["body"], longs)],
+                names=["row", "doc_id", "sequence", "n_shingles", "keys", "sketch", "body"])
     return signed
 
 
@@ -146,12 +160,18 @@ def _confirmed(width: int, percent: int):
     return confirmed
 
 
+def _unlike(left: str, right: str, column: str, bits: int) -> Column:
+    return sum((F.bit_count(F.col(f"{left}.{column}")[i].bitwiseXOR(F.col(f"{right}.{column}")[i]))
+                for i in range(bits // 64)), F.lit(0))
+
+
 def _close(left: str, right: str, percent: int, most_bits: int) -> Column:
-    """Sizes and odd sketches of two candidates allow the wanted similarity."""
+    """Sizes and odd sketches of two candidates allow the wanted similarity. A link's
+    sets differ in (1 - j) / (1 + j) of the sum of their sizes at most."""
     n, m = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
-    unlike = sum((F.bit_count(F.col(f"{left}.sketch")[i].bitwiseXOR(F.col(f"{right}.sketch")[i]))
-                  for i in range(SKETCH // 64)), F.lit(0))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (unlike <= most_bits)
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & (_unlike(left, right, "sketch", SKETCH) <= most_bits)
+            & ((100 + percent) * _unlike(left, right, "body", BODY) <= (100 - percent) * (n + m)))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -206,10 +226,10 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -
     classes = pin(with_group_stats(signed.filter("n_shingles > 0").select("row", "doc_id", "sequence"),
                                    ["sequence"], "row", {"rep": (F.min("doc_id"), F.min)}))
     reps = (signed.join(classes.filter("doc_id = rep").select("row"), "row", "left_semi")
-            .select(F.col("doc_id").alias("id"), "n_shingles", "keys", "sketch")
+            .select(F.col("doc_id").alias("id"), "n_shingles", "keys", "sketch", "body")
             .dropDuplicates(["id"]))
     reps = stored(reps, "near-dedup-reps")
-    light = reps.select("id", "n_shingles", "sketch")
+    light = reps.select("id", "n_shingles", "sketch", "body")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     most_bits = most_unlike_bits(percent, SAMPLES, SKETCH)
 
@@ -220,8 +240,8 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -
     stars = members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
 
     def near(pairs: DataFrame) -> DataFrame:
-        x = light.select(F.col("id").alias("a"), F.struct("n_shingles", "sketch").alias("x"))
-        y = light.select(F.col("id").alias("b"), F.struct("n_shingles", "sketch").alias("y"))
+        x = light.select(F.col("id").alias("a"), F.struct("n_shingles", "sketch", "body").alias("x"))
+        y = light.select(F.col("id").alias("b"), F.struct("n_shingles", "sketch", "body").alias("y"))
         return (pairs.join(x, "a").join(y, "b").filter(_close("x", "y", percent, most_bits))
                 .select("a", "b"))
 

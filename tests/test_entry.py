@@ -51,6 +51,22 @@ def test_query_matches_oracle(spark, duck, name):
     assert _norm(df.collect()) == _norm(o_rows)
 
 
+LOADED = sorted(n for n in E.oracle_sql() if not n.startswith("op"))
+
+
+def test_loaded_tables_give_the_same_rows(spark, duck):
+    """What the bench reads (tables written once) against the same oracle."""
+    from meeple.plans import fixtures
+    fixtures.load_tables(spark, SF_SMALL)
+    try:
+        for name in LOADED:
+            df, res = E.queries()[name](spark, SF_SMALL), duck.sql(E.oracle_sql()[name])
+            idx = [res.columns.index(c) for c in df.columns]
+            assert _norm(df.collect()) == _norm(tuple(r[i] for i in idx) for r in res.fetchall()), name
+    finally:
+        fixtures.unload_tables(spark, SF_SMALL)
+
+
 def test_entry_module_loads_by_path(spark):
     import importlib.util
     import pathlib

@@ -35,13 +35,14 @@ def test_write_replace_keeps_table(spark, url):
 
 
 def test_kafka_source_needs_connector(spark):
+    from pyspark.errors import AnalysisException
+
     from meeple.sources import kafka
-    try:
+    if spark._jvm.java.lang.Thread.currentThread().getContextClassLoader().getResource(
+            "org/apache/spark/sql/kafka010/KafkaSourceProvider.class"):
+        pytest.skip("the connector is here; the topic functions need a broker")
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
         kafka.read_events(spark, "localhost:1")
-    except Exception as e:  # the connector package is not on this classpath
-        assert "kafka" in str(e).lower()
-    else:  # pragma: no cover - only with the connector installed
-        pass
 
 
 def test_recommendation_job_publishes_long_form_over_jdbc(spark, url):

@@ -88,6 +88,32 @@ def with_gapless_number(df: DataFrame, group: list[str], spread: str, order: lis
             .drop("_block", "_before"))
 
 
+def heaviest(df: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows with the highest ``count`` (positive), as many whole steps of 1/16 of
+    a power of two as make ``most`` rows at most. A histogram of the steps, at most
+    about a thousand rows, decides: no task sorts or gathers the table."""
+    step = F.floor(F.log2(F.col(count).cast("double")) * 16)
+    sizes = df.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, total = None, 0
+    for r in sorted(sizes, key=lambda r: -r.step):
+        total += r.n
+        if total > most:
+            break
+        least = r.step
+    return df.filter(step >= least) if least is not None else df.limit(0)
+
+
+def smallest_hashes(df: DataFrame, column: str, most: int) -> DataFrame:
+    """The ``most`` rows with the smallest hash of ``column``: a sample that doesn't
+    depend on layout. Rows beyond twice the expected bound are filtered out first,
+    so that the final ordering sees few rows whatever the number of tasks."""
+    total = df.count()
+    place = F.pmod(F.xxhash64(column), F.lit(1 << 40))
+    if total > 4 * most:
+        df = df.filter(place < int((1 << 40) * 2.0 * most / total))
+    return df.orderBy(place, column).limit(most)
+
+
 def crc_of_id(doc_id: Column | str = "doc_id") -> Column:
     """crc32 of the id as text, the contracts' fold number (null id: crc of '')."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

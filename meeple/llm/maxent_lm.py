@@ -17,7 +17,6 @@ tasks in one bounded table; counts of other words are joined.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -26,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import crc_of_id, picked, pin, stored, table
+from meeple.llm.common import crc_of_id, heaviest, picked, pin, stored, table
 
 CLASSES = 64
 PREVIOUS, SKIP, BOTH = 128, 32, 1024  # buckets of the three feature kinds
-FREQUENT = 150_000  # words whose counts all tasks get
+FREQUENT = 50_000  # words at most whose counts all tasks get
 HELD = 400_000  # distinct words a task holds at once
 UPDATES = 12
 GRADIENT_TASKS = 8
@@ -183,7 +182,7 @@ def _scored(sent):
     """Texts -> a row per text with the sums over its frequent words, and a row per
     other word with its count in the text. A text's row has a key no word equals."""
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, frequent, table_ = sent.value
+        frequent, table_ = sent.value
         ids, logs = _Ids(), np.zeros(0)
         for b in batches:
             if len(ids) > HELD:
@@ -246,10 +245,9 @@ def score(docs: DataFrame) -> DataFrame:
     mass = [per_class.get(c, (0, 0)) for c in range(CLASSES)]
     log_p = _log_softmax(train_classes(counts), np.arange(CONTEXTS)) / np.log(10)
     table_ = (log_p - np.log10([n + SMOOTHING * (v + 1) for n, v in mass])).astype(np.float32)
-    top = words.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word", "n").toArrow()
-    logs = np.log10(top["n"].to_numpy() + SMOOTHING).tolist()
-    frequent = dict(zip(top["word"].to_pylist(), logs, strict=True))
-    sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, frequent, table_))
+    frequent = {bytes(r.word): r.log for r in heaviest(words, "n", FREQUENT).select(
+        "word", F.log10(F.col("n") + SMOOTHING).alias("log")).toLocalIterator()}
+    sent = docs.sparkSession.sparkContext.broadcast((frequent, table_))
 
     kind = dict(rows.dtypes)["doc_id"]
     parts = rows.mapInArrow(_scored(sent), SCORED.format(id=kind)).join(

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import picked, table, tokenizer_path, worker_state
+from meeple.llm.common import heaviest, picked, pin, table, tokenizer_path, worker_state
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -65,9 +65,8 @@ def lengths(path: str, runs: list[bytes]) -> list[int]:
 def frequent_lengths(texts: DataFrame, path: str, size: int = FREQUENT) -> dict[bytes, int]:
     """The table of tier one: at most ``size`` runs and their token counts."""
     top = (texts.mapInArrow(_propose(path, FROM_A_TASK, HELD), "run binary, n bigint")
-           .groupBy("run").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "run").limit(size).select("run"))
-    runs = [bytes(r.run) for r in top.collect()]
+           .groupBy("run").agg(F.sum("n").alias("n")))
+    runs = sorted(bytes(r.run) for r in heaviest(pin(top), "n", size).select("run").collect())
     return dict(zip(runs, lengths(path, runs), strict=True)) if runs else {}
 
 

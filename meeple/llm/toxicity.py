@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import crc_of_id, picked, stored, table, worker_state
+from meeple.llm.common import crc_of_id, picked, smallest_hashes, stored, table, worker_state
 
 POSITIVES = 4_000  # most confirmed toxic documents that the fit reads
 UNLABELLED = 8_000  # most documents drawn as unlabelled
@@ -112,13 +112,12 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
     prior = min(0.99, float(known.prior or 0.0))
     if prior <= 0:
         return Model()
-    order = [F.xxhash64("doc_id"), "doc_id"]
     docs = picked(docs, "doc_id", "text")
     # two bounded tables of ids; only they are broadcast
-    p_ids = (marked.filter("toxic = 1").select("doc_id").distinct().orderBy(*order).limit(positives)
+    p_ids = (smallest_hashes(marked.filter("toxic = 1").select("doc_id").distinct(), "doc_id", positives)
              .withColumn("pos", F.lit(True)))
-    u_ids = (docs.filter(learn).select("doc_id").orderBy(*order).limit(unlabelled)
-             .select("doc_id").distinct().withColumn("unl", F.lit(True)))
+    u_ids = (smallest_hashes(docs.filter(learn).select("doc_id"), "doc_id", unlabelled)
+             .distinct().withColumn("unl", F.lit(True)))
     ids = p_ids.join(u_ids, "doc_id", "full").na.fill(False, ["pos", "unl"])
     sample = stored(docs.join(F.broadcast(ids), "doc_id").select("pos", "unl", "text")
                     .mapInArrow(_featured, "pos boolean, unl boolean, features array<int>"), "toxicity-sample")

@@ -353,8 +353,11 @@ def als_recommendations(spark, d):
 
 
 def als_rmse(spark, d):
-    train, test = recommend.split(fx.reviews(spark, d).persist(), PARAMS)
-    return recommend.rmse(recommend.fit(train, PARAMS), test)
+    reviews = fx.reviews(spark, d).persist()
+    train, test = recommend.split(reviews, PARAMS)
+    out = _pinned(recommend.rmse(recommend.fit(train, PARAMS), test))
+    reviews.unpersist()
+    return out
 
 
 def als_structure(spark, d):
@@ -378,7 +381,7 @@ def als_structure(spark, d):
     got = F.coalesce("recommendation_list", F.array().cast("array<int>"))
     ordered = F.forall(F.sequence(F.lit(1), F.greatest(F.size("scores") - 1, F.lit(1))),
                        lambda i: F.coalesce(F.get("scores", i - 1) >= F.get("scores", i), F.lit(True)))
-    return j.select(
+    out = _pinned(j.select(
         "user_id",
         (F.size(got) <= PARAMS.list_size).alias("at_most_five"),
         (F.size(F.array_distinct(got)) == F.size(got)).alias("none_twice"),
@@ -386,7 +389,9 @@ def als_structure(spark, d):
         F.coalesce(ordered & (F.size("all") == F.least(F.lit(PARAMS.candidates), F.size("all"))), F.lit(True))
         .alias("scores_fall"),
         (got == F.coalesce(first, F.array().cast("array<int>"))).alias("first_popular"),
-        (F.col("trained").isNotNull() | F.col("recommendation_list").isNull()).alias("trained_only"))
+        (F.col("trained").isNotNull() | F.col("recommendation_list").isNull()).alias("trained_only")))
+    reviews.unpersist()
+    return out
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

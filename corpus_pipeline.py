@@ -7,7 +7,7 @@ as each operator's docstring says; an empty table passes through as one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.llm import exact_dedup, mixing, near_dedup, piece_fst, toxicity
@@ -23,10 +23,14 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if small else rows
 
 
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
     model, score = toxicity.train(docs, table(spark, sf_dir, "labels")), fresh("_score", docs)
-    return toxicity.with_score(docs, model, score).filter(F.col(score) < 0.5).select(*docs.columns)
+    return toxicity.with_score(docs, model, score).filter(F.col(score) < 0.5).select(*_all(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +48,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     repeated = per_key.filter("stays AND n > 1").select(*keys)
     if repeated.limit(1).count():  # rows that repeat an id and its text: one of them
         out = out.union(marked.join(_few(repeated), same, "left_semi").dropDuplicates(["doc_id", mine]))
-    return out.select(*docs.columns)
+    return out.select(*_all(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +56,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     other = fresh("_id", docs)
     gone = pin(near_dedup.near_groups(docs).filter("NOT kept")
                .select(F.col("doc_id").alias(other)).distinct())
-    return docs.join(_few(gone), F.col("doc_id") == F.col(other), "left_anti").select(*docs.columns)
+    return docs.join(_few(gone), F.col("doc_id") == F.col(other), "left_anti").select(*_all(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +66,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = (mixing.mix(docs).groupBy(F.col("doc_id").alias(other)).agg(F.max("copies").alias(copies))
              .filter(F.col(copies) > 0))
     out = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(other)))
-    return (out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy))
-            .select(*docs.columns))
+    return (out.select(*_all(docs), F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy))
+            .select(*_all(docs)))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

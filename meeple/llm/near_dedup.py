@@ -4,8 +4,8 @@
    sequence form one class; only its representative (smallest doc_id) goes on.
 2. MinHash samples are cut into bands; representatives that agree in a band are
    candidates. Bands only say where to look: within a bucket every member is
-   compared with one hub, then members that are still in different components are
-   compared with each other.
+   compared with one hub, then members that are still outside the bucket's largest
+   component are compared with members of other components.
 3. The samples are folded into an odd sketch, a bitmap of parities. The XOR of two
    sketches counts the samples that differ, so candidates far below the wanted
    similarity are turned away before their texts are read.
@@ -262,11 +262,18 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -
               .filter("key != key2")
               .select("id", "component", F.xxhash64("key", "key2").alias("key")))
     within = open_.filter(F.col("m") <= LARGE).select("id", "component", "key").union(second)
-    within = within.join(light, "id")
-    x, y = within.alias("x"), within.alias("y")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
-                   & (F.col("x.component") != F.col("y.component")) & _close("x", "y", percent, most_bits))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    # every pair across components has a member outside the bucket's largest one:
+    # only such members look for partners, so a huge component is never compared
+    # with itself
+    within = pin(within)
+    largest = (within.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("largest")))
+    y = within.join(light, "id").alias("y")
+    x = (within.join(largest, "key").filter("component != largest").join(light, "id").alias("x"))
+    other = F.col("x.component") != F.col("y.component")
+    once = (F.col("y.component") == F.col("x.largest")) | (F.col("x.id") < F.col("y.id"))
+    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & other & once & _close("x", "y", percent, most_bits))
+            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
     rest = pin(rest.join(stars, ["a", "b"], "left_anti"))
     if rest.limit(1).count():
         more = pin(_confirm(rest, texts, width, percent))

@@ -16,15 +16,18 @@ GROUP = "analytics"
 
 
 def read_events(spark: SparkSession, servers: str, topic: str = TOPIC,
-                starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None) -> DataFrame:
+                starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
+                group: str = GROUP) -> DataFrame:
     """The topic as a stream of (key, value, timestamp) text records.
 
     Consumer-group offsets are replaced by the query's checkpoint (ST4):
-    ``startingOffsets`` applies only to the first start.
+    ``startingOffsets`` applies only to the first start, and ``group`` only names
+    the query's consumers on the broker.
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
+         .option("groupIdPrefix", group)
          .option("startingOffsets", starting_offsets)
          .option("failOnDataLoss", "true"))
     if max_offsets_per_trigger:

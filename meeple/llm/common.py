@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import functools
 import sys
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -127,6 +129,13 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in smaller pieces, so that few long texts are Python objects at once."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def worker_state(key: str, make):
     """A value kept for the life of a Python worker (tasks of one worker share it).
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meeple.llm.common import SPACE, picked, pin, table, with_group_stats
+from meeple.llm.common import SPACE, picked, pin, slices, table, with_group_stats
 
 BLOCK_BYTES = 4096
 GATHER_BYTES = 48 << 20  # of blocks compared inside a task before they are sent
@@ -99,7 +99,7 @@ BLOCK_ROWS = T.StructType([
 def _cut(size: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
-        for b in batches:
+        for b in slices(batches):
             out: dict[str, list] = {f: [] for f in BLOCK_ROWS.names}
             held = 0
 

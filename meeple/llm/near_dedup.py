@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import picked, pin, stored, table, with_group_stats, words
+from meeple.llm.common import picked, pin, slices, stored, table, with_group_stats, words
 
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000 times
@@ -116,7 +116,7 @@ def _signed(width: int, bands: int, rows: int, bits: int):
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
         a, b_ = _constants(bands * rows, 1), _constants(bands * rows, 2)
-        for b in batches:
+        for b in slices(batches):
             out: dict[str, list] = {c: [] for c in ("sequence", "n_shingles", "keys", "sketch", "body")}
             for text in b.column("text").to_pylist():
                 found = _lowered(text)
@@ -150,7 +150,7 @@ def _confirmed(width: int, percent: int):
                     held.clear()
                 held[doc] = shingle_set(_lowered(text), width)
             return held[doc]
-        for b in batches:
+        for b in slices(batches):
             ok = []
             for x, y, tx, ty in zip(*(b.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
                 p, q = of(x, tx), of(y, ty)

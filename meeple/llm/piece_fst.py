@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import picked, table, tokenizer_path, worker_state
+from meeple.llm.common import picked, slices, table, tokenizer_path, worker_state
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -241,7 +241,7 @@ def _fst(path: str) -> PieceFst:
 def _encoded(path: str):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst, cache = _fst(path), worker_state(f"fst-words:{path}", dict)
-        for b in batches:
+        for b in slices(batches):
             ids = [fst.encode(t or "", cache) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))],
                                              names=[*b.schema.names, "ids"])
@@ -251,7 +251,7 @@ def _encoded(path: str):
 def _decoded(path: str):
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = _fst(path)
-        for b in batches:
+        for b in slices(batches):
             texts = [None if x is None else fst.decode(np.array(x, np.int32)) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                              names=[*b.schema.names, "decoded"])
@@ -282,7 +282,7 @@ def _digest(path: str):
         fst, cache = _fst(path), worker_state(f"fst-words:{path}", dict)
         is_byte = np.zeros(len(fst.written), bool)
         is_byte[list(fst.byte_id.values())] = True
-        for b in batches:
+        for b in slices(batches):
             out: list[list] = [[] for _ in names[2:]]
             for t in b.column("text").to_pylist():
                 ids = fst.encode(t or "", cache)

@@ -136,21 +136,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(i, rows)
 
 
-def worker_state(key: str, make):
+def worker_state(owner: str, key: str, make):
     """A value kept for the life of a Python worker (tasks of one worker share it).
 
     Functions are shipped by value, so module globals start anew in each task;
-    tokenizers and bounded caches are kept here instead.
+    tokenizers and bounded caches are kept here instead. A worker keeps the values
+    of one owner: when another operator (or another run of a model) asks, the ones
+    before are let go.
     """
     store = sys.__dict__.setdefault("_meeple_worker_state", {})
-    if key not in store:
-        store[key] = make()
-    return store[key]
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back: for
-    wide or long rows, which a checkpoint would keep uncompressed."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if owner not in store:
+        store.clear()
+        store[owner] = {}
+    if key not in store[owner]:
+        store[owner][key] = make()
+    return store[owner][key]

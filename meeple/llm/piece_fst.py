@@ -32,8 +32,8 @@ from meeple.llm.common import picked, slices, table, tokenizer_path, worker_stat
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-HELD = 600_000  # words whose paths a worker holds at once
-HELD_PAIRS = 1_000_000  # arcs of the merge order held at once
+HELD = 200_000  # words whose paths a worker holds at once
+HELD_PAIRS = 200_000  # arcs of the merge order held at once
 LONGEST_HELD = 64  # characters of a word that is held
 
 
@@ -235,12 +235,12 @@ class PieceFst:
 
 
 def _fst(path: str) -> PieceFst:
-    return worker_state(f"fst:{path}", lambda: PieceFst(path))
+    return worker_state(path, "fst", lambda: PieceFst(path))
 
 
 def _encoded(path: str):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fst, cache = _fst(path), worker_state(f"fst-words:{path}", dict)
+        fst, cache = _fst(path), worker_state(path, "words", dict)
         for b in slices(batches):
             ids = [fst.encode(t or "", cache) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))],
@@ -279,7 +279,7 @@ def _digest(path: str):
     names = ["doc_id", "n_bytes", "n_pieces", "n_fallback", "ids_sha256", "round_trip"]
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fst, cache = _fst(path), worker_state(f"fst-words:{path}", dict)
+        fst, cache = _fst(path), worker_state(path, "words", dict)
         is_byte = np.zeros(len(fst.written), bool)
         is_byte[list(fst.byte_id.values())] = True
         for b in slices(batches):

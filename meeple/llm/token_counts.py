@@ -22,7 +22,7 @@ TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
 FREQUENT = 50_000  # pre-tokens in the table that all tasks get
 FROM_A_TASK = 20_000  # of them that one task may propose
-HELD = 400_000  # distinct pre-tokens a worker holds at once
+HELD = 300_000  # distinct pre-tokens a worker holds at once
 
 
 def load(path: str):
@@ -58,7 +58,7 @@ def _propose(path: str, from_a_task: int, held: int):
 
 
 def lengths(path: str, runs: list[bytes]) -> list[int]:
-    tok = worker_state(f"tokenizer:{path}", lambda: load(path))
+    tok = worker_state(path, "tokenizer", lambda: load(path))
     return [len(e.ids) for e in tok.encode_batch([r.decode() for r in runs], add_special_tokens=False)]
 
 
@@ -73,7 +73,7 @@ def frequent_lengths(texts: DataFrame, path: str, size: int = FREQUENT) -> dict[
 def _count(path: str, table_of, limit: int, held: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = table_of.value
-        cache: dict[bytes, int] = worker_state(f"lengths:{path}", dict)
+        cache: dict[bytes, int] = worker_state(path, "lengths", dict)
         for b in batches:
             out = []
             for data in b.column("data").to_pylist():

@@ -29,7 +29,7 @@ LEAST_LIFT = 3.0  # times that a feature must be commoner among positives
 LEAST_Z = 4.0  # standard errors that this must amount to
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6)  # of words, besides whole words
-HELD = 500_000  # words whose features a worker holds at once
+HELD = 200_000  # words whose features a worker holds at once
 
 
 @dataclass
@@ -150,7 +150,7 @@ def _scorer(model_of):
         run, bias, weights = model_of.value
         if not weights:
             return [0.0] * len(texts)
-        cache: dict[str, tuple[int, ...]] = worker_state(f"toxicity:{run}", dict)
+        cache: dict[str, tuple[int, ...]] = worker_state(run, "words", dict)
         bases = {f // 4 for f in weights}
         out = []
         for t in texts:

@@ -55,10 +55,22 @@ class Page(HTMLParser):
         self.links = 0
         self.held: list[str] = []
         self.held_link = 0
-        self.feed(html or "")
+        html = html or ""
+        cut = html.rfind("<")  # a tag that the end of the page cuts off is dropped
+        if cut > html.rfind(">") and re.match(r"<[a-zA-Z/]", html[cut:cut + 2]):
+            html = html[:cut]
+        self.feed(html)
         self.close()
         self._end_run()
 
+    def parse_comment(self, i, report=1):
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 else end  # unclosed: to the end of the page
+
+    def parse_marked_section(self, i, report=1):
+        end = self.rawdata.find(">", i)  # "<![" outside foreign content is a comment
+        return len(self.rawdata) if end < 0 else end + 1
+
     def _end_run(self) -> None:
         if self.held:
             text = " ".join("".join(self.held).split())

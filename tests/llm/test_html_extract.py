@@ -66,3 +66,16 @@ def test_decoding_prefers_the_likeliest_tree():
     assert page.tags == ["body", "div", "p", "p", "div", "p"]
     kept = html_dom.decoded(page, np.array([0.9, 0.4, 0.95, 0.95, 0.1, 0.6]))
     assert kept.tolist() == [True, True, True, True, False, False]
+
+
+def test_any_text_is_a_page():
+    import random
+    text = lambda h: [t for _, t, _ in html_dom.Page(h).runs]
+    assert text("<![foo bar]>x<![CDATA[y]]>z<!-- q") == ["xz"]
+    assert text("a<p>b</p><a href='x y") == ["a", "b"]
+    r = random.Random(1)
+    bits = ["<p>", "</p>", "<div class='", "'>", "<", "!", "[", "--", ">", "x y", "&", "<script>", "</script>", "<!",
+            "]]>", "<li>", "<ul>", "</ul>", "\x00", "<a href=", "<?", "/", "<![", "<!DOCTYPE", "&#xD800;"]
+    for _ in range(3000):
+        page = html_dom.Page("".join(r.choice(bits) for _ in range(r.randint(1, 25))))
+        assert len(html_dom.features([page])) == len(page.tags)

@@ -180,11 +180,10 @@ def features(pages: list[Page]) -> np.ndarray:
     place = np.cumsum(sizes) - sizes
     totals = np.bincount(run_page, sizes, minlength=len(pages)) if len(at) else np.zeros(len(pages))
     place = place - (np.cumsum(totals) - totals)[run_page] if len(at) else place
-    own = np.bincount(at, sizes, minlength=n)
-    link = np.bincount(at, np.array([k for p in pages for _, _, k in p.runs], float), minlength=n)
-    marks = np.bincount(at, np.array([len(SENTENCE.findall(t)) for p in pages for _, t, _ in p.runs], float),
-                        minlength=n)
-    runs = np.bincount(at, minlength=n).astype(float)
+    in_links = np.array([k for p in pages for _, _, k in p.runs], float)
+    stops = np.array([len(SENTENCE.findall(t)) for p in pages for _, t, _ in p.runs], float)
+    own, link, marks, runs = (np.bincount(at, w, minlength=n).astype(float)  # whole numbers if there are no runs
+                              for w in (sizes, in_links, stops, np.ones(len(at))))
     first = np.full(n, np.inf)
     np.minimum.at(first, at, place)
     paras = (np.array([t == "p" for t in tags]) & (own >= 40)).astype(float)

@@ -22,8 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows of whole texts go to Python tasks 500 at a time instead of 10,000, which
+    bounds the memory of both sides; results don't depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def picked(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns: extra columns of any name never reach an operator."""
+    small_batches(df.sparkSession)
     return df.select(*[df[n] for n in names])
 
 

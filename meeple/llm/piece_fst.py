@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import picked, slices, table, tokenizer_path, worker_state
+from meeple.llm.common import picked, slices, small_batches, table, tokenizer_path, worker_state
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -265,6 +265,7 @@ def _kinds(df: DataFrame) -> str:
 def with_ids(docs: DataFrame, model: str | None = None) -> DataFrame:
     """All columns of docs(text, ...) plus ``ids`` array<int> (replaced if present);
     null and empty texts have no ids."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("ids")
     return docs.mapInArrow(_encoded(model or tokenizer_path(MODEL)), f"{_kinds(docs)}, ids array<int>")
 

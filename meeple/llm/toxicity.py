@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import crc_of_id, picked, slices, smallest_hashes, stored, table, worker_state
+from meeple.llm.common import crc_of_id, picked, slices, small_batches, smallest_hashes, stored, table, worker_state
 
 POSITIVES = 4_000  # most confirmed toxic documents that the fit reads
 UNLABELLED = 8_000  # most documents drawn as unlabelled
@@ -178,6 +178,7 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         for b in slices(batches):
             arrays = [*b.columns, pa.array(scores(b.column("text").to_pylist()), pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*b.schema.names, name])
+    small_batches(docs.sparkSession)
     docs = docs.drop(name)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{kinds}, `{name}` double")

@@ -160,6 +160,11 @@ def worker_state(owner: str, key: str, make):
     return store[owner][key]
 
 
+def let_go() -> None:
+    """For tasks that keep nothing: drop what other operators left in this worker."""
+    sys.__dict__.setdefault("_meeple_worker_state", {}).clear()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back: for
     wide or long rows, which a checkpoint would keep uncompressed."""

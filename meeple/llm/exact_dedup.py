@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meeple.llm.common import SPACE, picked, pin, slices, table, with_group_stats
+from meeple.llm.common import SPACE, let_go, picked, pin, slices, table, with_group_stats
 
 BLOCK_BYTES = 4096
-GATHER_BYTES = 48 << 20  # of blocks compared inside a task before they are sent
+GATHER_BYTES = 12 << 20  # of blocks compared inside a task before they are sent
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -53,6 +53,8 @@ def _distinct_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(parts, refs.column_names))
         out = pa.table({"block": coded.dictionary.cast(pa.binary()), "refs": lists})
         yield from out.to_batches(max_chunksize=2048)
+        del coded, refs, parts, lists, out, t
+        pa.default_memory_pool().release_unused()  # the worker lives on in other stages
 
 
 def _name_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,6 +101,7 @@ BLOCK_ROWS = T.StructType([
 def _cut(size: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
+        let_go()
         for b in slices(batches):
             out: dict[str, list] = {f: [] for f in BLOCK_ROWS.names}
             held = 0

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import picked, pin, slices, stored, table, with_group_stats, words
+from meeple.llm.common import let_go, picked, pin, slices, stored, table, with_group_stats, words
 
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000 times
@@ -115,6 +115,7 @@ SIGNED = ("row bigint, doc_id bigint, sequence binary, n_shingles bigint, keys a
 def _signed(width: int, bands: int, rows: int, bits: int):
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
+        let_go()
         a, b_ = _constants(bands * rows, 1), _constants(bands * rows, 2)
         for b in slices(batches):
             out: dict[str, list] = {c: [] for c in ("sequence", "n_shingles", "keys", "sketch", "body")}

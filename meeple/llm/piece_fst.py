@@ -32,8 +32,8 @@ from meeple.llm.common import picked, slices, small_batches, table, tokenizer_pa
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-HELD = 200_000  # words whose paths a worker holds at once
-HELD_PAIRS = 200_000  # arcs of the merge order held at once
+HELD = 150_000  # words whose paths a worker holds at once
+HELD_PAIRS = 150_000  # arcs of the merge order held at once
 LONGEST_HELD = 64  # characters of a word that is held
 
 

@@ -29,7 +29,7 @@ LEAST_LIFT = 3.0  # times that a feature must be commoner among positives
 LEAST_Z = 4.0  # standard errors that this must amount to
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6)  # of words, besides whole words
-HELD = 200_000  # words whose features a worker holds at once
+HELD = 100_000  # words whose features a worker holds at once
 
 
 @dataclass

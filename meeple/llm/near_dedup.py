@@ -32,7 +32,8 @@ BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000 times
 SAMPLES = BANDS * ROWS
 SKETCH = 512  # bits of the odd sketch of the samples
 BODY = 1024  # bits of the odd sketch of the whole set
-LARGE = 256  # members from which a bucket's residue is split by a second band
+LARGE = 4096  # members from which a bucket's residue is split by a second band: below,
+# comparing sketches in place costs less than the rows of a split
 BROADCAST_IDS = 1_000_000  # ids (8 MB) up to which the texts are filtered by a broadcast
 SLACK = 5.0  # standard deviations that the sketch filter leaves below the bound
 

@@ -9,8 +9,9 @@ import numpy as np
 
 # fixed values: element names of HTML by the role they have here
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("head script style noscript template svg math iframe object select option "
+SILENT = set("head script style noscript template svg annotation annotation-xml iframe object select option "
              "button canvas audio video textarea title".split())
+IN_HEAD = set("html head base basefont bgsound link meta title style script noscript template noframes".split())
 BLOCK = set("html body article main section div nav header footer aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd "
             "table thead tbody tfoot tr td th caption pre blockquote figure figcaption address details summary "
             "fieldset legend hgroup menu dialog center".split())
@@ -41,6 +42,7 @@ WORD_ROLES = ["nav|navbar|navigation|menu|breadcrumb|breadcrumbs|crumbs|toc|page
               "article|articlebody|content|main|post|entry|story|body|text|page|prose|blog"]
 WORD_ROLE = {w: 1 << i for i, ws in reversed(list(enumerate(WORD_ROLES))) for w in ws.split("|")}
 SENTENCE = re.compile(r"[.!?,;:]")
+BUTTON = re.compile(r"<(/?)button[\s/>]", re.I)
 
 
 class Page(HTMLParser):
@@ -52,6 +54,8 @@ class Page(HTMLParser):
         self.runs: list[tuple[int, str, int]] = []  # node, text, characters inside links
         self.stack: list[tuple[str, int]] = [("body", 0)]  # open tag, its block node
         self.silent = 0
+        self.loose = 0  # where the stack has a button without an end tag; 0: none
+        self.at = 0  # where the start tag at hand begins
         self.links = 0
         self.held: list[str] = []
         self.held_link = 0
@@ -63,6 +67,10 @@ class Page(HTMLParser):
         self.close()
         self._end_run()
 
+    def parse_starttag(self, i):
+        self.at = i
+        return super().parse_starttag(i)
+
     def parse_comment(self, i, report=1):
         end = super().parse_comment(i, report)
         return len(self.rawdata) if end < 0 else end  # unclosed: to the end of the page
@@ -86,6 +94,8 @@ class Page(HTMLParser):
                 self.silent -= 1
             elif t == "a":
                 self.links -= 1
+        if at <= self.loose:
+            self.loose = 0
         del self.stack[at:]
 
     def _close(self, ends: set[str], boundary: set[str]) -> None:
@@ -97,9 +107,22 @@ class Page(HTMLParser):
             if t in boundary or t in BOUNDARY:
                 return
 
+    def _end_head(self) -> None:
+        """An end tag of the head may be left out: what cannot stand in it ends it."""
+        if self.stack[-1][0] == "head":
+            self._pop_to(len(self.stack) - 1)
+
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body"):
+        if tag == "body" and self.silent:  # ends the head with all that is open in it
+            names = [t for t, _ in self.stack]
+            if "head" in names and "template" not in names:
+                self._pop_to(names.index("head"))
+        if tag in ("html", "body") or tag == "head" and self.stack[-1][0] == "head":
             return
+        if tag not in IN_HEAD:
+            self._end_head()
+        if self.loose and (tag == "button" or tag in BLOCK and self.silent == 1):
+            self._pop_to(self.loose)
         if tag == "br" or tag == "img":
             self.held.append(" ")
             return
@@ -126,6 +149,10 @@ class Page(HTMLParser):
         self.stack.append((tag, self.stack[-1][1]))
         if tag in SILENT:
             self.silent += 1
+            if tag == "button" and self.silent == 1:
+                following = BUTTON.search(self.rawdata, self.at + 1)
+                if not (following and following[1]):
+                    self.loose = len(self.stack) - 1
         elif tag == "a":
             self.links += 1
 
@@ -142,6 +169,8 @@ class Page(HTMLParser):
         # an end tag without its start is passed over
 
     def handle_data(self, data):
+        if self.silent and data.strip(" \t\n\f\r"):
+            self._end_head()
         if not self.silent:
             self.held.append(data)
             if self.links:

@@ -68,6 +68,32 @@ def test_decoding_prefers_the_likeliest_tree():
     assert kept.tolist() == [True, True, True, True, False, False]
 
 
+def test_left_out_end_tags():
+    text = lambda h: [t for _, t, _ in html_dom.Page(h).runs]
+    for head in ("<head>", "<head><title>t</title>", "<head><meta name=a><style>p {}</style>\n",
+                 "<head><head><script>var a = '<p>x</p>'</script>", "<head><noscript><link rel=x></noscript>"):
+        for body in ("<body><p>a</p>b", "<p>a</p>b", "</head><body><p>a</p>b", "</head><p>a</p>b"):
+            assert text("<html>" + head + body) == ["a", "b"]
+    assert text("<head><title>t</title>a<p>b") == ["a", "b"]
+    assert text("<head><noscript><link rel=x><body><p>a") == ["a"]
+    assert text("<head><template><body><p>x</template><p>a") == ["a"]
+    # a button without an end tag is silent to the next block, one with it as a whole
+    assert text("<div>a<button>x<p>b<p>c</div>") == ["a", "b", "c"]
+    assert text("a<button>x<button><div>y</div></button>b") == ["a", "b"]
+    assert text("a<button>x<svg><p>y</p></svg><p>b</p><div><button>z</button>c</div>") == ["a", "b", "c"]
+    # formulas are text, their source is not
+    assert text("<p>so <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=tex>x = 2"
+                "</annotation></semantics></math> holds") == ["so x=2 holds"]
+
+
+def test_page_without_end_of_head(spark, trees):
+    prose = "This is a fairly long paragraph, with commas, about nothing in particular. " * 3
+    pages = [f"<html><head><title>t</title>{end}<body><article><p>{prose}</p></article></body></html>"
+             for end in ("</head>", "")]
+    out = html_extract.main_texts(spark.createDataFrame([(i, "u", h, "", 1) for i, h in enumerate(pages)], KIND))
+    assert {(r.text, r.n_chars) for r in out.collect()} == {(prose.strip(), len(prose.strip()))}
+
+
 def test_any_text_is_a_page():
     import random
     text = lambda h: [t for _, t, _ in html_dom.Page(h).runs]

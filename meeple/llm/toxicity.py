@@ -25,8 +25,8 @@ from meeple.llm.common import crc_of_id, picked, slices, small_batches, smallest
 POSITIVES = 4_000  # most confirmed toxic documents that the fit reads
 UNLABELLED = 8_000  # most documents drawn as unlabelled
 FEATURES = 2_000  # of the hashed features, those that positives have most above the unlabelled
-LEAST_LIFT = 3.0  # times that a feature must be commoner among positives
-LEAST_Z = 4.0  # standard errors that this must amount to
+LEAST_LIFT = 3.0  # times that a feature must be commoner among positives than among negatives
+LEAST_Z = 4.0  # standard errors that it must be commoner than among the unlabelled
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6)  # of words, besides whole words
 HELD = 100_000  # words whose features a worker holds at once
@@ -102,24 +102,33 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
           unlabelled: int = UNLABELLED) -> Model:
     """Fit on docs(doc_id, text) and labels(doc_id, toxic) outside the held-out fold.
 
-    Both samples are the rows with the smallest hash of doc_id, at most
-    ``positives`` and ``unlabelled`` of them. The class prior is the toxic share
-    of the labelled rows. Without a positive the model is empty.
+    Learning goes by distinct texts, so that copies of one text weigh as one. Both
+    samples are the texts with the smallest hashes, at most ``positives`` and
+    ``unlabelled`` of them. The class prior is the toxic share of the labelled
+    texts. Without a positive the model is empty.
     """
     learn = crc_of_id() % 5 != 0
-    marked = picked(labels, "doc_id", "toxic").filter(learn & F.col("toxic").isNotNull())
-    known = marked.agg(F.avg("toxic").alias("prior")).first()
+    marked = (picked(labels, "doc_id", "toxic").filter(learn & F.col("toxic").isNotNull())
+              .groupBy("doc_id").agg(F.avg("toxic").alias("toxic"), F.max(F.col("toxic") == 1).alias("pos")))
+    docs = picked(docs, "doc_id", "text")
+    key = F.xxhash64(F.coalesce("text", F.lit("")))  # texts that share one count as one
+    # one small row per distinct text, and a row that holds it (a positive one if there is one)
+    texts = stored(docs.filter(learn).select("doc_id", key.alias("key")).distinct()
+                   .join(marked, "doc_id", "left").groupBy("key")
+                   .agg(F.coalesce(F.min(F.when(F.col("pos"), F.col("doc_id"))), F.min("doc_id")).alias("doc_id"),
+                        F.avg("toxic").alias("toxic"), F.max("pos").alias("pos")), "toxicity-texts")
+    known = texts.agg(F.avg("toxic").alias("prior")).first()
     prior = min(0.99, float(known.prior or 0.0))
     if prior <= 0:
         return Model()
-    docs = picked(docs, "doc_id", "text")
-    # two bounded tables of ids; only they are broadcast
-    p_ids = (smallest_hashes(marked.filter("toxic = 1").select("doc_id").distinct(), "doc_id", positives)
+    # two bounded tables of texts; only they are broadcast
+    p_ids = (smallest_hashes(texts.filter("pos").select("doc_id", "key"), "key", positives)
              .withColumn("pos", F.lit(True)))
-    u_ids = (smallest_hashes(docs.filter(learn).select("doc_id"), "doc_id", unlabelled)
-             .distinct().withColumn("unl", F.lit(True)))
-    ids = p_ids.join(u_ids, "doc_id", "full").na.fill(False, ["pos", "unl"])
-    sample = stored(docs.join(F.broadcast(ids), "doc_id").select("pos", "unl", "text")
+    u_ids = (smallest_hashes(texts.select("doc_id", "key"), "key", unlabelled)
+             .withColumn("unl", F.lit(True)))
+    ids = p_ids.join(u_ids, ["doc_id", "key"], "full").na.fill(False, ["pos", "unl"])
+    held = docs.withColumn("key", key).join(F.broadcast(ids), ["doc_id", "key"])
+    sample = stored(held.dropDuplicates(["key"]).select("pos", "unl", "text")  # rows may repeat
                     .mapInArrow(_featured, "pos boolean, unl boolean, features array<int>"), "toxicity-sample")
 
     sizes = sample.agg(F.sum(F.col("pos").cast("int")).alias("p"), F.sum(F.col("unl").cast("int")).alias("u")).first()
@@ -130,7 +139,9 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
     share_p, share_u = F.col("p") / F.lit(float(sizes.p)), F.col("u") / F.lit(float(sizes.u))
     floor = F.greatest(share_u, F.lit(0.5 / sizes.u))  # as if half a document had it
     z = (share_p - floor) / F.sqrt(floor / sizes.p)
-    best = [r.feature for r in seen.filter((share_p >= LEAST_LIFT * floor) & (z >= LEAST_Z))
+    # the unlabelled hold the prior's share of positives: what is left is the negatives' share
+    share_n = F.greatest((share_u - prior * share_p) / (1 - prior), F.lit(0.5 / sizes.u))
+    best = [r.feature for r in seen.filter((share_p >= LEAST_LIFT * share_n) & (z >= LEAST_Z))
             .orderBy(F.desc(z), "feature").limit(FEATURES).select("feature").collect()]
     place = {f: i for i, f in enumerate(best)}
     chosen = F.array_intersect("features", F.array(*[F.lit(f) for f in best]).cast("array<int>"))

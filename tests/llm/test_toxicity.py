@@ -9,11 +9,11 @@ from meeple.llm import toxicity
 LABELS = "doc_id bigint, quality int, toxic int, text string"
 
 
-def marked(n=900):
+def marked(n=900, share=0.15):
     r = random.Random(11)
     docs, labels = [], []
     for i in range(n):
-        bad = r.random() < 0.15
+        bad = r.random() < share
         w = sentence(r, r.randint(20, 200)).split()
         if bad:
             for _ in range(max(2, len(w) // 50)):
@@ -42,6 +42,30 @@ def test_held_out_accuracy(spark):
     assert sorted((r.doc_id, r.score) for r in out) == sorted((r.doc_id, r.score) for r in again)
 
 
+def held_right(spark, docs, labels):
+    out = toxicity.toxicity(frame(spark, docs), spark.createDataFrame(labels, LABELS)).collect()
+    truth = {d[0]: d[5] for d in docs}
+    assert len(out) == len(docs)
+    return np.mean([r.predicted == truth[r.doc_id] for r in out if r.held_out])
+
+
+def test_many_toxic_rows(spark):
+    assert held_right(spark, *marked(share=0.4)) > 0.97
+
+
+def test_a_third_are_copies_of_one_toxic_text(spark):
+    docs, labels = marked(600)
+    one = next(d for d in docs if d[5])
+    docs += [(i, *one[1:]) for i in range(600, 900)]
+    labels += [(i, 1, 1, None) for i in range(600, 900, 2)]
+    out = toxicity.toxicity(frame(spark, docs), spark.createDataFrame(labels, LABELS)).collect()
+    truth = {d[0]: d[5] for d in docs}
+    held = [r for r in out if r.held_out]
+    assert np.mean([r.predicted for r in held if r.doc_id >= 600]) == 1
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held if r.doc_id < 600]) > 0.97
+    assert len(out) == 900
+
+
 def test_nonnegative_risk_keeps_the_unlabelled_positives():
     # feature 0: toxic; half of the toxic documents are only among the unlabelled
     rng = np.random.RandomState(0)

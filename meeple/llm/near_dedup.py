@@ -32,8 +32,7 @@ BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000 times
 SAMPLES = BANDS * ROWS
 SKETCH = 512  # bits of the odd sketch of the samples
 BODY = 1024  # bits of the odd sketch of the whole set
-LARGE = 4096  # members from which a bucket's residue is split by a second band: below,
-# comparing sketches in place costs less than the rows of a split
+LARGE = 4096  # members of a part of a bucket: larger buckets are searched in several tasks
 BROADCAST_IDS = 1_000_000  # ids (8 MB) up to which the texts are filtered by a broadcast
 SLACK = 5.0  # standard deviations that the sketch filter leaves below the bound
 
@@ -257,24 +256,21 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -
         "low": (F.min("component"), F.min), "high": (F.max("component"), F.max),
         "m": (F.count(F.lit(1)), F.sum)}).filter("low != high")
     open_ = pin(open_.select("id", "key", "component", "m"))
-    # in a large bucket a pair must share another band too, as a pair at the bound
-    # does but for once in 200,000 times
-    large = open_.filter(F.col("m") > LARGE)
-    second = (large.join(bands.select("id", F.col("key").alias("key2")), "id")
-              .filter("key != key2")
-              .select("id", "component", F.xxhash64("key", "key2").alias("key")))
-    within = open_.filter(F.col("m") <= LARGE).select("id", "component", "key").union(second)
     # every pair across components has a member outside the bucket's largest one:
     # only such members look for partners, so a huge component is never compared
-    # with itself
-    within = pin(within)
+    # with itself. A large bucket is cut into parts; they look in each of them
+    within = open_.withColumn("parts", F.ceil(F.col("m") / F.lit(LARGE)))
     largest = (within.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
                .groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("largest")))
-    y = within.join(light, "id").alias("y")
-    x = (within.join(largest, "key").filter("component != largest").join(light, "id").alias("x"))
+    y = (within.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+         .join(light, "id").alias("y"))
+    x = (within.join(largest, "key").filter("component != largest")
+         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+         .join(light, "id").alias("x"))
     other = F.col("x.component") != F.col("y.component")
     once = (F.col("y.component") == F.col("x.largest")) | (F.col("x.id") < F.col("y.id"))
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & other & once & _close("x", "y", percent, most_bits))
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part"))
+    rest = (x.join(y, same & other & once & _close("x", "y", percent, most_bits))
             .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
     rest = pin(rest.join(stars, ["a", "b"], "left_anti"))
     if rest.limit(1).count():

@@ -63,6 +63,22 @@ def test_matches_brute_force(spark, monkeypatch):
                 assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_parts_of_large_buckets_change_nothing(spark, monkeypatch):
+    r = random.Random(9)
+    rows = []
+    for g in range(6):  # pairs about the bound, many with one band in common only
+        shared = sentence(r, 60)
+        rows += [(100 * g + i, shared + " " + sentence(r, r.randint(20, 60)), "en", "a", 0, 1, 1.0, 1)
+                 for i in range(40)]
+    r.shuffle(rows)
+    got = []
+    for large in (10_000, 2):
+        monkeypatch.setattr(nd, "LARGE", large)
+        got.append(sorted(tuple(x) for x in nd.near_groups(frame(spark, rows), percent=55).collect()))
+    assert got[0] == got[1]
+    assert 6 < len({x[2] for x in got[0]}) < len(rows)
+
+
 def test_sketch_estimates_and_filter():
     rng = np.random.RandomState(1)
     a, b = nd._constants(nd.SAMPLES, 1), nd._constants(nd.SAMPLES, 2)

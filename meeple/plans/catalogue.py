@@ -360,6 +360,38 @@ def als_rmse(spark, d):
     return out
 
 
+def list_checks(reviews, train, cands, popular, lists):
+    """The checks of als_structure, a row per user. Games meet the popular ones in a
+    join on the game id; only the games of one user (candidates) are gathered."""
+    by_user = cands.select("user_id", F.size("recommendations").alias("n"),
+                           F.transform("recommendations", lambda x: x["rating"]).alias("scores"))
+    games = (recommend.explode_candidates(cands).withColumn("listed", F.lit(False))
+             .unionByName(lists.select("user_id", F.posexplode("recommendation_list").alias("pos", "game_id"))
+                          .withColumn("listed", F.lit(True))))
+    known = popular.select(F.col("id").alias("game_id"), F.lit(True).alias("popular"))
+    found = games.join(known, "game_id", "left").groupBy("user_id").agg(
+        F.count(F.when(F.col("listed") & F.col("popular").isNull(), 1)).alias("unpopular"),
+        F.array_sort(F.collect_list(F.when(~F.col("listed") & F.col("popular"), F.struct("pos", "game_id"))))
+        .alias("found"))
+    users = train.select("user_id").distinct()
+    j = (reviews.select("user_id").distinct().join(users.withColumn("trained", F.lit(True)), "user_id", "left")
+         .join(by_user, "user_id", "left").join(lists, "user_id", "left").join(found, "user_id", "left"))
+    none = F.array().cast("array<int>")
+    first = F.slice(F.transform("found", lambda x: x["game_id"]), 1, PARAMS.list_size)
+    got = F.coalesce("recommendation_list", none)
+    ordered = F.forall(F.sequence(F.lit(1), F.greatest(F.size("scores") - 1, F.lit(1))),
+                       lambda i: F.coalesce(F.get("scores", i - 1) >= F.get("scores", i), F.lit(True)))
+    return j.select(
+        "user_id",
+        (F.size(got) <= PARAMS.list_size).alias("at_most_five"),
+        (F.size(F.array_distinct(got)) == F.size(got)).alias("none_twice"),
+        (F.coalesce("unpopular", F.lit(0)) == 0).alias("all_popular"),
+        F.coalesce(ordered & (F.col("n") == F.least(F.lit(PARAMS.candidates), F.col("n"))), F.lit(True))
+        .alias("scores_fall"),
+        (got == F.coalesce(first, none)).alias("first_popular"),
+        (F.col("trained").isNotNull() | F.col("recommendation_list").isNull()).alias("trained_only"))
+
+
 def als_structure(spark, d):
     """What must hold of every user's list, whatever the scores: at
     most five games, all popular, none twice, in the order of their scores, the
@@ -371,25 +403,7 @@ def als_structure(spark, d):
     cands = _pinned(model.recommendForAllUsers(PARAMS.candidates))
     popular = recommend.popular_games(reviews, PARAMS.min_reviews)
     lists = recommend.popular_top_k(recommend.explode_candidates(cands), popular, PARAMS.list_size)
-    by_user = cands.select("user_id", F.transform("recommendations", lambda x: x["id"]).alias("all"),
-                           F.transform("recommendations", lambda x: x["rating"]).alias("scores"))
-    pop = popular.agg(F.collect_set("id").alias("popular"))  # the test data's popular games
-    users = train.select("user_id").distinct()
-    j = (reviews.select("user_id").distinct().join(users.withColumn("trained", F.lit(True)), "user_id", "left")
-         .join(by_user, "user_id", "left").join(lists, "user_id", "left").join(F.broadcast(pop)))
-    first = F.slice(F.filter("all", lambda x: F.array_contains(F.col("popular"), x)), 1, PARAMS.list_size)
-    got = F.coalesce("recommendation_list", F.array().cast("array<int>"))
-    ordered = F.forall(F.sequence(F.lit(1), F.greatest(F.size("scores") - 1, F.lit(1))),
-                       lambda i: F.coalesce(F.get("scores", i - 1) >= F.get("scores", i), F.lit(True)))
-    out = _pinned(j.select(
-        "user_id",
-        (F.size(got) <= PARAMS.list_size).alias("at_most_five"),
-        (F.size(F.array_distinct(got)) == F.size(got)).alias("none_twice"),
-        (F.size(F.array_except(got, "popular")) == 0).alias("all_popular"),
-        F.coalesce(ordered & (F.size("all") == F.least(F.lit(PARAMS.candidates), F.size("all"))), F.lit(True))
-        .alias("scores_fall"),
-        (got == F.coalesce(first, F.array().cast("array<int>"))).alias("first_popular"),
-        (F.col("trained").isNotNull() | F.col("recommendation_list").isNull()).alias("trained_only")))
+    out = _pinned(list_checks(reviews, train, cands, popular, lists))
     reviews.unpersist()
     return out
 

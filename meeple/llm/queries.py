@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from meeple.llm import (
+    bloom_search,
     exact_dedup,
     html_extract,
     maxent_lm,
     mixing,
     near_dedup,
+    pii,
     piece_fst,
     quality_rules,
     sharding,
     token_counts,
     toxicity,
+    whitening,
 )
 
 QUERIES = {
@@ -26,8 +29,12 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_maxent_lm": maxent_lm.op9_maxent_lm,
     "op10_sentencepiece": piece_fst.op10_sentencepiece,
+    "op11_search": bloom_search.op11_search,
+    "op12_pii": pii.op12_pii,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op11_search": bloom_search.OP11_SQL,
 }

@@ -168,6 +168,31 @@ def reviews_from_dump(spark, d):
     return c.select(F.col("user").alias("user_name"), "rating", F.col("ID").alias("id"), "pos")
 
 
+def dump_positions(spark, d):
+    """The dump written as one file and read in many splits (whose limit is lowered
+    for the file's size, so that many of them begin inside quoted comments): the
+    records keep the order of the file."""
+    from meeple import schemas
+    path = scratch_path(spark, "reviews-one-file")
+    dump = fx.reviews_dump(spark, d)
+    dump.coalesce(1).write.option("header", "true").option("escape", '"').option("emptyValue", "").csv(path)
+    limits = {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "4096"}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        raw = files.read_csv(spark, path, schemas.RAW_REVIEWS, position="place")
+        raw = files.land(raw.select("_row", "comment", "place"), "reviews-places")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # the comment's own number tells which record a piece of text came from
+    said = F.regexp_extract("comment", r"\n(\d+),mallory", 1).try_cast("long")
+    whole = F.when(F.col("_row").try_cast("long") % 5 == 0, said == F.col("_row").try_cast("long")).otherwise(said.isNull())
+    return raw.groupBy(F.col("_row").try_cast("long").alias("pos")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("place").alias("places"), F.every(whole).alias("whole"))
+
+
 def categories_bulk_loaded(spark, d):
     """S2 + S3 + E4: category lists, some with commas, quotes, braces and empty
     elements, written for the bulk load and loaded by position."""
@@ -349,7 +374,10 @@ PARAMS = recommend.AlsParams(min_reviews=TEST_MIN_REVIEWS)
 
 
 def als_recommendations(spark, d):
-    return recommend.list_text(recommend.recommend(fx.reviews(spark, d), PARAMS).recommendations)
+    found = recommend.recommend(fx.reviews(spark, d), PARAMS)
+    out = _pinned(recommend.list_text(found.recommendations))
+    found.release()
+    return out
 
 
 def als_rmse(spark, d):
@@ -392,6 +420,66 @@ def list_checks(reviews, train, cands, popular, lists):
         (F.col("trained").isNotNull() | F.col("recommendation_list").isNull()).alias("trained_only"))
 
 
+USERS_SOLVE, GAMES_SOLVE = 1e-3, 0.05  # residuals: rounding of 32-bit factors; a converged fit
+
+
+def als_optimality(spark, d):
+    """M2: whether each user's and each game's factor solves its ridge equations."""
+    reviews = fx.reviews(spark, d).persist()
+    train, _ = recommend.split(reviews, PARAMS)
+    found = recommend.residuals(recommend.fit(train, PARAMS), train, PARAMS.reg_param)
+    keys = (reviews.select(F.lit("user").alias("side"), F.col("user_id").alias("key")).distinct()
+            .unionByName(reviews.select(F.lit("game").alias("side"), F.col("id").alias("key")).distinct()))
+    most = F.when(F.col("side") == "user", USERS_SOLVE).otherwise(GAMES_SOLVE)
+    trained = (train.select(F.lit("user").alias("side"), F.col("user_id").alias("key")).distinct()
+               .unionByName(train.select(F.lit("game").alias("side"), F.col("id").alias("key")).distinct())
+               .withColumn("trained", F.lit(True)))
+    out = (keys.join(found, ["side", "key"], "left").join(trained, ["side", "key"], "left")
+           .select("side", "key", F.coalesce(F.col("residual") <= most, F.col("trained").isNull()).alias("solves")))
+    out = _pinned(out)
+    reviews.unpersist()
+    return out
+
+
+def als_rmse_by_hand(spark, d):
+    """The RMSE from the factors, the one of the predictions and the
+    evaluator's agree, and the same held-out ratings have no prediction."""
+    reviews = fx.reviews(spark, d).persist()
+    train, test = recommend.split(reviews, PARAMS)
+    model = recommend.fit(train, PARAMS)
+    hand = recommend.rmse_by_hand(model, test).first()
+    rmse = recommend.rmse(model, test).first()["rmse"]
+    row = (abs(hand.rmse - rmse) < 1e-5, abs(recommend.rmse_value(model, test) - rmse) < 1e-5,
+           hand.n == model.transform(test).count())
+    reviews.unpersist()
+    return spark.createDataFrame([row], "rmse_agrees boolean, evaluator_agrees boolean, same_rows boolean")
+
+
+def als_exact_lists(spark, d):
+    """The bounded search finds the lists that scoring all pairs finds (games of
+    equal score at the end of a list may differ), and scores fewer pairs."""
+    reviews = fx.reviews(spark, d).persist()
+    train, _ = recommend.split(reviews, PARAMS)
+    model = recommend.fit(train, PARAMS)
+    found = _pinned(recommend.best_products(model, PARAMS.candidates))
+    every = model.recommendForAllUsers(PARAMS.candidates).withColumnRenamed("recommendations", "every")
+    total = found.agg(F.sum("scored").alias("n")).first().n or 0
+    pairs = model.userFactors.count() * model.itemFactors.count()
+    apart = F.zip_with("recommendations", "every", lambda a, b: F.abs(a["rating"] - b["rating"]) <= 1e-4)
+    last = F.element_at("every", -1)["rating"]
+    sure = F.transform(F.filter("every", lambda x: x["rating"] > last + 1e-4), lambda x: x["id"])
+    got = F.transform("recommendations", lambda x: x["id"])
+    users = reviews.select("user_id").distinct()
+    out = users.join(found, "user_id", "left").join(every, "user_id", "left").select(
+        "user_id", F.coalesce(F.forall(apart, lambda x: F.coalesce(x, F.lit(False))), F.col("every").isNull())
+        .alias("same_scores"),
+        F.coalesce(F.size(F.array_except(sure, got)) == 0, F.col("every").isNull()).alias("same_games"),
+        F.lit(total < pairs).alias("fewer_scored"))
+    out = _pinned(out)
+    reviews.unpersist()
+    return out
+
+
 def als_structure(spark, d):
     """What must hold of every user's list, whatever the scores: at
     most five games, all popular, none twice, in the order of their scores, the
@@ -449,7 +537,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_recommendations": als_recommendations,
     "als_rmse": als_rmse,
     "als_structure": als_structure,
+    "als_optimality": als_optimality,
+    "als_rmse_by_hand": als_rmse_by_hand,
+    "als_exact_lists": als_exact_lists,
     "reviews_from_dump": reviews_from_dump,
+    "dump_positions": dump_positions,
     "categories_bulk_loaded": categories_bulk_loaded,
     "rating_texts_split": rating_texts_split,
     "daily_documents": daily_documents,

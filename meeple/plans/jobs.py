@@ -37,12 +37,11 @@ def run_etl(spark: SparkSession, detailed_csv: str, list_csv: str, reviews_csv:
     """Catalogue + review ETL to Parquet.
 
     Dumps are read by column name, with quoted newlines kept and the null tokens
-    of pandas. Such a file is one task, so the reviews are landed as Parquet once
-    and every later step reads that.
+    of pandas, in as many tasks as the files have splits. The reviews are landed as
+    Parquet once and every later step reads that.
 
     The file position of a review is the dump's own row number column when
-    it has one; otherwise the read order (``monotonically_increasing_id``
-    keeps split order for a single file). With ``reviews_buckets`` the
+    it has one; otherwise its place in the file as the reader counts it. With ``reviews_buckets`` the
     reviews are also registered as table ``reviews_table``, bucketed by
     user_id over the same folder, so per-user reads skip their shuffle.
     """
@@ -50,10 +49,9 @@ def run_etl(spark: SparkSession, detailed_csv: str, list_csv: str, reviews_csv:
     raw2 = files.read_csv(spark, list_csv, schemas.RAW_GAMES_LIST, null_tokens=null_tokens)
     games = etl.complete_games(etl.clean_games_detailed(raw1), etl.clean_games_list(raw2))
 
-    raw_r = files.read_csv(spark, reviews_csv, schemas.RAW_REVIEWS, null_tokens=null_tokens)
-    pos = F.coalesce(F.col("_row").try_cast("long"),
-                     F.monotonically_increasing_id() + F.lit(1 << 62))
-    raw_r = files.land(raw_r.withColumn("_pos", pos).drop("_row"), "raw-reviews")
+    raw_r = files.read_csv(spark, reviews_csv, schemas.RAW_REVIEWS, null_tokens=null_tokens, position="_place")
+    pos = F.coalesce(F.col("_row").try_cast("long"), F.col("_place") + F.lit(1 << 62))
+    raw_r = files.land(raw_r.withColumn("_pos", pos).drop("_row", "_place"), "raw-reviews")
     clean = etl.clean_reviews(raw_r, tokens=null_tokens)
     ids = etl.dense_user_ids(clean, "_pos")
     reviews = etl.reviews_table(etl.attach_user_ids(clean, ids))

@@ -328,6 +328,8 @@ FROM fx_daily_counts GROUP BY date"""),
 ORACLE["reviews_from_dump"] = _with(["fx_reviews_raw"], """
 SELECT user_name, rating, id, pos FROM fx_reviews_raw
 WHERE user_name IS NOT NULL AND rating IS NOT NULL AND id IS NOT NULL AND pos % 59 <> 0 AND pos % 61 <> 0""")
+ORACLE["dump_positions"] = _with(["fx_reviews_raw"], """
+SELECT pos, count(*) AS n, count(*) AS places, true AS whole FROM fx_reviews_raw GROUP BY pos""")
 ORACLE["categories_bulk_loaded"] = _with(["fx_categories"], r"""
 SELECT id,
        CASE WHEN id % 3 = 0 THEN 'A, ' || id || '|C"D|{x}||back\slash|null|<null>| pad '
@@ -364,6 +366,13 @@ ORACLE["als_structure"] = _with(["fx_reviews"], """
 SELECT DISTINCT user_id, true AS at_most_five, true AS none_twice, true AS all_popular, true AS scores_fall,
        true AS first_popular, true AS trained_only FROM fx_reviews""")
 
+ORACLE["als_optimality"] = _with(["fx_reviews"], """
+SELECT DISTINCT 'user' AS side, user_id AS key, true AS solves FROM fx_reviews
+UNION ALL SELECT DISTINCT 'game' AS side, id AS key, true AS solves FROM fx_reviews""")
+ORACLE["als_rmse_by_hand"] = "SELECT true AS rmse_agrees, true AS evaluator_agrees, true AS same_rows"
+ORACLE["als_exact_lists"] = _with(["fx_reviews"], """
+SELECT DISTINCT user_id, true AS same_scores, true AS same_games, true AS fewer_scored FROM fx_reviews""")
+
 # The stream emits a day once the 1-day watermark has passed its end.
 _CLOSED = "CAST(date AS DATE) + INTERVAL 1 DAY <= (SELECT max(timestamp) FROM fx_messages) - INTERVAL 1 DAY"
 ORACLE["stream_daily_game_views"] = _with(["fx_messages"], f"""

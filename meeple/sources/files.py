@@ -1,8 +1,8 @@
 """File sources and sinks.
 
 Raw CSV dumps are read with explicit schemas. Free-text columns (descriptions,
-comments) may hold quoted newlines, which needs ``multiLine`` and makes each
-file one task: ``land`` writes such a dump to Parquet once, all work is done from there.
+comments) may hold quoted newlines; ``quoted_csv`` finds the records of such a file
+in many tasks. ``land`` writes a dump to Parquet once, later work is done from there.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meeple.functions import text
-
+from meeple.sources import quoted_csv
 
 # What the unnamed row-number column of a dump is called in a header.
 ROW_NUMBER_NAMES = ("", "_c0", "Unnamed: 0", "_row")
@@ -48,14 +48,17 @@ def _named_schema(header: list[str], schema: T.StructType) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *, by_name: bool = True,
-             multiline: bool = True, null_tokens: Iterable[str] = ("",)) -> DataFrame:
+             multiline: bool = True, null_tokens: Iterable[str] = ("",),
+             position: str | None = None) -> DataFrame:
     """S1 + E2: CSV with a header row as ``schema``.
 
     Columns are found by their name in the header, so a wider dump or another
     column order reads right and a missing column is an error; columns not asked
     for are never parsed. ``by_name=False`` reads by position (the bulk load S3).
     Quotes are doubled inside quoted fields (``""``), as pandas writes them, and
-    quoted newlines are part of the text unless ``multiline`` is turned off.
+    quoted newlines are part of the text (a file is cut into splits all the same, see
+    ``quoted_csv``) unless ``multiline`` is turned off. ``position`` names a column for
+    the order of the records in the file (needs ``multiline``).
     Spark's reader knows one null token (the empty field); further tokens
     (e.g. ``text.PANDAS_NULL_TOKENS``) are applied to the string columns, and a
     number column is null where its text is no number or NaN.
@@ -64,12 +67,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, *, by_name: b
     if by_name:
         header = header_of(spark, path)
         full = _named_schema(header, schema) if header else schema
-    df = (spark.read.schema(full)
-          .option("header", "true")
-          .option("quote", '"').option("escape", '"')
-          .option("multiLine", str(multiline).lower())
-          .option("mode", "PERMISSIVE")
-          .csv(path))
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    if multiline:
+        df = quoted_csv.read(spark, path, full, options, position)
+    elif position:
+        raise ValueError("positions are known in multiline mode only")
+    else:
+        df = spark.read.schema(full).options(header="true", **options).csv(path)
     extra = [t for t in null_tokens if t != ""]
     cols = []
     for f in schema.fields:
@@ -82,7 +86,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, *, by_name: b
         else:
             c = F.col(f"`{f.name}`")
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *([F.col(f"`{position}`")] if position else []))
 
 
 def land(df: DataFrame, name: str) -> DataFrame:

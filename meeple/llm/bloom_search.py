@@ -23,7 +23,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +33,7 @@ ROWS = 4  # slices that a term sets
 LEVELS = 8  # counts of 1, 2, 4, ... 128; the last one has no upper end
 FILL = 0.25  # share of a document's bits that are set, at most
 BLOCK_DOCS = 1024
-CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 4096  # texts from which blocks are made at once
+CHUNK_BYTES, CHUNK_DOCS = 2 << 20, 4096  # texts from which blocks are made at once
 MATRIX_CELLS = 1 << 25  # bits times documents of a block, at most
 QUERY_BYTES = 4 << 20  # terms of the queries that go through together
 PAIR_BATCH = 16  # documents scored before the bound is looked at again
@@ -76,13 +75,19 @@ def level_of(tf: np.ndarray) -> np.ndarray:
 
 # --- the index --------------------------------------------------------------------
 
-INDEX = ("doc_ids array<bigint>, lengths array<bigint>, terms array<binary>, df array<bigint>,"
-         " starts array<int>, codes array<int>, tfs array<bigint>, width bigint, slices binary")
+# one row per block: numbers as packed bytes, terms joined by spaces (no term holds one)
+INDEX = ("n_docs bigint, n_terms bigint, width bigint, doc_ids binary, no_id binary, lengths binary, terms binary,"
+         " df binary, starts binary, codes binary, tfs binary, slices binary")
+KINDS = {"doc_ids": np.int64, "no_id": np.bool_, "lengths": np.int64, "df": np.int32, "starts": np.int32,
+         "codes": np.int32, "tfs": np.int32, "slices": np.uint8}
 
 
-def _list(values, kind) -> pa.Array:
-    flat = pa.array(values, kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
+def _read(b: pa.RecordBatch, row: int, *names: str) -> list:
+    out = []
+    for name in names:
+        data = b.column(name)[row].as_py()
+        out.append(pa.array(data.split(b" "), pa.binary()) if name == "terms" else np.frombuffer(data, KINDS[name]))
+    return out
 
 
 def _block(ids: list, doc: np.ndarray, code: np.ndarray, tf: np.ndarray, names: pa.Array) -> pa.RecordBatch:
@@ -99,13 +104,16 @@ def _block(ids: list, doc: np.ndarray, code: np.ndarray, tf: np.ndarray, names:
         has = level >= at_least
         matrix[bits_of(term_hash, at_least, width)[code[has]], doc[has][:, None]] = 1
     starts = np.searchsorted(doc, np.arange(n + 1))
-    return pa.RecordBatch.from_arrays(
-        [_list(ids, pa.int64()), _list(np.bincount(doc, weights=tf, minlength=n).astype(np.int64), pa.int64()),
-         _list(terms, pa.binary()), _list(np.bincount(code, minlength=len(used)), pa.int64()),
-         _list(starts.astype(np.int32), pa.int32()), _list(code.astype(np.int32), pa.int32()),
-         _list(tf, pa.int64()), pa.array([width], pa.int64()),
-         pa.array([np.packbits(matrix, axis=1).tobytes()], pa.binary())],
-        names=[f.split()[0] for f in INDEX.split(", ")])
+    lengths = np.bincount(doc, weights=tf, minlength=n).astype(np.int64)
+    row = {"n_docs": n, "n_terms": int(lengths.sum()), "width": width,
+           "doc_ids": np.array([i or 0 for i in ids]), "no_id": np.array([i is None for i in ids]),
+           "lengths": lengths, "terms": b" ".join(terms.to_pylist()), "df": np.bincount(code, minlength=len(used)),
+           "starts": starts, "codes": code, "tfs": tf, "slices": np.packbits(matrix, axis=1)}
+    columns = []
+    for name in (f.split()[0] for f in INDEX.split(", ")):
+        v = row[name].astype(KINDS[name]).tobytes() if name in KINDS else row[name]
+        columns.append(pa.array([v], pa.binary() if isinstance(v, bytes) else pa.int64()))
+    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in INDEX.split(", ")])
 
 
 def _blocks(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
@@ -148,6 +156,7 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held >= CHUNK_BYTES or len(ids) >= CHUNK_DOCS:
                 yield from _blocks(ids, texts)
                 ids, texts, held = [], [], 0
+                pa.default_memory_pool().release_unused()  # the worker lives on in other stages
     if ids:
         yield from _blocks(ids, texts)
 
@@ -192,8 +201,8 @@ def _document_counts(sent):
         df = np.zeros(len(names) + 1, np.int64)
         for b in batches:
             for r in range(b.num_rows):
-                at = pc.index_in(b.column("terms")[r].values, names).fill_null(len(names)).to_numpy()
-                np.add.at(df, at, b.column("df")[r].values.to_numpy())
+                terms, counts = _read(b, r, "terms", "df")
+                np.add.at(df, pc.index_in(terms, names).fill_null(len(names)).to_numpy(), counts)
         seen = np.flatnonzero(df[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(df[seen])], names=["term", "df"])
     return counted
@@ -211,6 +220,9 @@ class _Plan:
         self.hashes = hashes(list(place))
         self.queries = [(item, np.array([place[t] for t in terms if df[place[t]]], np.int64))
                         for item, terms in queries]
+        # sums of weights are exact in 32-bit floats below 2^24
+        most = max((int(self.weight[t].sum()) for _, t in self.queries), default=0)
+        self.kind = np.float32 if most < 1 << 24 else np.float64
 
     def m(self, lengths: np.ndarray) -> np.ndarray:
         return 100 - 90 + (90 * lengths * self.n) // self.length
@@ -236,7 +248,7 @@ def _bounds(plan: _Plan, width: int, bitmaps: np.ndarray, lengths: np.ndarray, m
         most = np.minimum(lengths, 2 ** (level + 1) - 1) if level < LEVELS - 1 else lengths
         where = np.full(len(plan.names), -1)
         where[place] = np.arange(len(place))
-        sums.append((where, np.unpackbits(present, axis=1)[:, :n].astype(np.float64), gain(most, m)))
+        sums.append((where, np.unpackbits(present, axis=1)[:, :n].astype(plan.kind), gain(most, m)))
 
     def bound(terms: np.ndarray):
         total, before = None, 0
@@ -245,7 +257,7 @@ def _bounds(plan: _Plan, width: int, bitmaps: np.ndarray, lengths: np.ndarray, m
             here = at >= 0
             if not here.any():
                 break
-            part = (plan.weight[terms[here]].astype(np.float64) @ bits[at[here]]) * (most - before)
+            part = (plan.weight[terms[here]].astype(plan.kind) @ bits[at[here]]).astype(np.float64) * (most - before)
             total, before = part if total is None else total + part, most
         return total
     return bound
@@ -273,14 +285,12 @@ def _searched(sent, top: int):
         weights = np.zeros(len(plan.names) + 1, np.int64)
         for b in batches:
             for r in range(b.num_rows):
-                c = {name: b.column(name)[r] for name in b.schema.names}
-                lengths, starts, codes, tfs = (c[k].values.to_numpy() for k in ("lengths", "starts", "codes", "tfs"))
-                starts = starts.astype(np.int64)
-                width, m = c["width"].as_py(), plan.m(lengths)
-                bitmaps = np.frombuffer(c["slices"].as_py(), np.uint8).reshape(width, -1)
-                ids = np.ma.masked_array(c["doc_ids"].values.fill_null(0).to_numpy(),
-                                         c["doc_ids"].values.is_null().to_numpy(zero_copy_only=False))
-                known = pc.index_in(c["terms"].values, plan.names).fill_null(len(plan.names)).to_numpy()[codes]
+                lengths, starts, codes, tfs, bitmaps, ids, no_id, terms = _read(
+                    b, r, "lengths", "starts", "codes", "tfs", "slices", "doc_ids", "no_id", "terms")
+                starts, tfs = starts.astype(np.int64), tfs.astype(np.int64)
+                width, m = b.column("width")[r].as_py(), plan.m(lengths)
+                bitmaps, ids = bitmaps.reshape(width, -1), np.ma.masked_array(ids, no_id)
+                known = pc.index_in(terms, plan.names).fill_null(len(plan.names)).to_numpy()[codes]
                 bound = _bounds(plan, width, bitmaps, lengths, m)
                 for q, (_, terms) in enumerate(plan.queries):
                     upper = bound(terms)
@@ -328,8 +338,7 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
                    .select(F.monotonically_increasing_id().alias("item"), "item_id", "text")
                    .mapInArrow(_items, f"item bigint, item_id {dict(queries.dtypes)['item_id']}, terms array<binary>"),
                    "search-items")
-    size = index.select(F.sum(F.size("lengths")).alias("n"),
-                        F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).alias("l")).first()
+    size = index.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("l")).first()
     found = spark.createDataFrame([], "item bigint, doc_id bigint, score bigint")
     for block in _query_blocks(items) if size.n else ():
         names = pa.array(sorted({t for _, terms in block for t in terms}), pa.binary())

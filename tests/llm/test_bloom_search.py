@@ -71,7 +71,7 @@ def test_signatures_never_miss(level):
     import pyarrow as pa
     b = bs._block([7], np.zeros(50, np.int64), np.arange(50), tf, pa.array(names))
     width = b.column("width")[0].as_py()
-    bitmap = np.frombuffer(b.column("slices")[0].as_py(), np.uint8).reshape(width, -1)
+    bitmap = bs._read(b, 0, "slices")[0].reshape(width, -1)
     for at in range(level + 1):
         assert (np.bitwise_and.reduce(bitmap[bs.bits_of(bs.hashes(names), at, width)], axis=1) == 128).all()
 
@@ -89,7 +89,8 @@ def test_few_documents_are_scored(spark, monkeypatch):
     df = np.zeros(len(names), np.int64)
     for b in index:
         at = {t: i for i, t in enumerate(names.to_pylist())}
-        for t, n in zip(b.column("terms")[0].as_py(), b.column("df")[0].as_py(), strict=True):
+        terms, counts = bs._read(b, 0, "terms", "df")
+        for t, n in zip(terms.to_pylist(), counts, strict=True):
             if t in at:
                 df[at[t]] += n
     plan = bs._Plan([(i, sorted(set(bs.terms_of(texts[i])))) for i in range(5)], names, df, 1500,

@@ -12,8 +12,16 @@ The model file is compiled into parts that are composed lazily with each input:
   neighbours are such pairs, so of the finite paths there is one.
 
 Encoding is the shortest path in the tropical semiring (the least sum of
-weights) through input o lexicon o merge order; decoding is the inverse relation. No piece holds a space after another character, so the composition
-falls apart at spaces and the paths of words are kept in a bounded cache.
+weights) through input o lexicon o byte fallback o merge order; decoding is the
+inverse relation. States of the composition are (position, last piece id). Distances
+are found in the order of positions: the least over the arcs that end there of the
+distance of the state they come from plus their weight. As merging a prefix has one
+outcome, one state of each position has a finite distance, so an arc is weighed
+against one state only. The parts are compiled to integer tables: a trie of
+the pieces that merging can make, and the weights of (piece, piece) arcs by number.
+No piece holds a space after another character, nor a letter beside another kind of
+character (both are checked when a model is compiled), so the composition falls apart
+there, and the paths of words are kept in a cache bounded in bytes.
 """
 
 from __future__ import annotations
@@ -32,11 +40,95 @@ from meeple.llm.common import picked, slices, small_batches, table, tokenizer_pa
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-HELD = 150_000  # words whose paths a worker holds at once
-HELD_PAIRS = 150_000  # arcs of the merge order held at once
+HELD_BYTES = 32 << 20  # of words and their ids that a worker holds at once, about
+ENTRY_BYTES = 180  # what an entry takes besides its characters and ids
+HELD_PAIRS = 500_000  # arcs of the merge order held at once
+TOGETHER = 1 << 20  # characters whose words are looked up together
+NONE = -2  # no state of a position has a finite distance (so far)
+UNKNOWN = -1  # a character that no piece holds, or the start: an arc from it is never infinite
 LONGEST_HELD = 64  # characters of a word that is held
 
 
+def parts_of(inside: set[str]) -> re.Pattern:
+    """Cuts a text where no merge can cross, given the pairs of characters that stand
+    side by side in pieces: before spaces, and between runs of letters and of others.
+    Characters that stand beside the other kind in some piece count as no letters."""
+    letter = re.compile(r"[^\W\d_]")
+    odd: set[str] = set()
+    while True:
+        kind = lambda c: bool(letter.fullmatch(c)) and c not in odd
+        new = {c for b in inside for c in b if b[0] != SPACE and kind(b[0]) != kind(b[1]) and kind(c)}
+        if not new:
+            break
+        odd |= new
+    odd_ = re.escape("".join(sorted(odd)))
+    return re.compile(rf" *[^\W\d_{odd_}]+| *(?:[\W\d_{odd_}](?<! ))+| +")
+
+
+class IntMap:
+    """Integer keys (0 and above) to small integers, looked up whole arrays at a time."""
+
+    def __init__(self, kind, size: int = 1 << 12):
+        self.kind, self.n = kind, 0
+        self._clear(size)
+
+    def _clear(self, size: int) -> None:
+        self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size, self.kind)
+        self.shift, self.n = np.uint64(64 - size.bit_length() + 1), 0
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """New distinct keys."""
+        if 2 * (self.n + len(keys)) > len(self.keys):
+            had = self.keys >= 0
+            keys, values = np.concatenate([self.keys[had], keys]), np.concatenate([self.values[had], values])
+            self._clear(1 << (4 * len(keys)).bit_length())
+        self.n += len(keys)
+        at, last = self._slot(keys), len(self.keys) - 1
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of several keys for a slot the last one gets it
+            won = self.keys[at] == keys
+            self.values[at[won]] = values[won]
+            keys, values, at = keys[~won], values[~won], (at[~won] + 1) & last
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values, -1 where a key isn't held."""
+        at, last = self._slot(keys), len(self.keys) - 1
+        there = self.keys[at]
+        out = np.where(there == keys, self.values[at], -1)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & last
+            there, wanted = self.keys[at], keys[left]
+            hit = there == wanted
+            out[left[hit]] = self.values[at[hit]]
+            go = ~hit & (there >= 0)
+            left, at = left[go], at[go]
+        return out
+
+
+class Paths:
+    """Words and their ids in two generations of HELD_BYTES / 2: what was asked for since
+    the young one began survives when the old one is let go."""
+
+    def __init__(self, held: int | None = None):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.most, self.size = (HELD_BYTES if held is None else held) // 2, 0
+
+    def put(self, word: str, ids: bytes) -> None:
+        if len(word) > LONGEST_HELD:
+            return
+        if self.size >= self.most:
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young[word] = ids
+        self.size += len(word) + len(ids) + ENTRY_BYTES
+
+
 class PieceFst:
     """Compiled transducer of one model file with byte fallback."""
 
@@ -56,7 +148,7 @@ class PieceFst:
         self.score = {p.piece: p.score for p in kinds[1] if p.type == 1}
         self.lexicon = normal
         self.byte_id = {int(p.piece[3:5], 16): i for i, p in enumerate(kinds[1]) if p.type == 6}
-        self.trie = {p[:k] for p in normal for k in range(1, len(p) + 1)}
+        self.names = {i: p for p, i in normal.items()}
         self.inside = {p[k:k + 2] for p in normal for k in range(len(p) - 1)}
         if any(b[1] == SPACE != b[0] for b in self.inside):
             raise ValueError("pieces that run across spaces are not supported")
@@ -66,13 +158,33 @@ class PieceFst:
             self.written[i] = p.replace(SPACE, " ").encode()
         for byte, i in self.byte_id.items():
             self.written[i] = bytes([byte])
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.width = len(kinds[1])
         self.split: dict[str, tuple[str, str] | None] = {}
         self.edges: tuple[dict, dict] = ({}, {})
         # merges run in the order of scores if no piece outranks the parts it is made of
         self.ordered = all(
             parts is None or all(len(x) == 1 or self.score[x] >= self.score[p] for x in parts)
             for p, parts in ((p, self.halves(p)) for p in normal if len(p) > 1))
+        # the trie as integers: (node, character) -> node, node -> piece. Pieces that
+        # merging never makes have infinite weight everywhere and are left out
+        made = {p: i for p, i in normal.items() if len(p) == 1 or self.halves(p) is not None}
+        letters = {c: k for k, c in enumerate(sorted({c for p in made for c in p}), 1)}
+        self.code = np.zeros(0x110000, np.int32)
+        self.code[[ord(c) for c in letters]] = list(letters.values())
+        self.letters, nodes, piece_at = len(letters) + 1, {}, [-1]
+        for p, i in made.items():
+            node = 0
+            for c in p:
+                key = node * self.letters + letters[c]
+                node = nodes.setdefault(key, len(piece_at))
+                if node == len(piece_at):
+                    piece_at.append(-1)
+            piece_at[node] = i
+        self.nodes, self.piece_at = IntMap(np.int32), np.array(piece_at, np.int32)
+        self.nodes.put(np.array(list(nodes), np.int64), np.array(list(nodes.values()), np.int32))
+        self.pairs = IntMap(np.int8)  # arcs of the merge order, by u * width + v: finite or not
+        self.packed = [struct.pack("<i", i) for i in range(self.width)]
+        self.parts, self.longest = parts_of(self.inside), max(map(len, normal))
 
     def merged(self, text: str) -> list[str]:
         """The definition: merge the best-scored neighbours (leftmost of equals)."""
@@ -118,65 +230,91 @@ class PieceFst:
         return got
 
     def follows(self, u: str, v: str) -> bool:
-        """Whether the merge order has a finite arc from u to v ('' stands before all).
+        """Whether the merge order has a finite arc from piece u to piece v.
 
         It has none if a part at the end of u and one at the start of v merge with
         each other before either is taken up inside its own piece (of equal scores
         the left merge goes first).
         """
-        if len(self.pairs) >= HELD_PAIRS:
-            self.pairs.clear()
         if len(v) > 1 and self.halves(v) is None:
-            known = False
-        elif not u or u[-1] + v[0] not in self.inside:
-            known = True
-        elif u[-1] == v[0] == SPACE or not self.ordered:
-            known = self.merged(u + v) == [u, v]
-        else:
-            known = not any((s := self.score.get(x + y)) is not None and s > cx and s >= cy
-                            for x, cx in self.edge(u, 1) for y, cy in self.edge(v, 0))
-        self.pairs[u, v] = known
-        return known
-
-    def shortest_path(self, word: str) -> list[str]:
-        """Pieces (and characters that are none) of a normalised string.
-
-        States are (position, last piece). As one path at most is finite, the
-        first that reaches the end is the shortest: arcs are tried depth first,
-        longest piece first, and no state is entered twice.
+            return False
+        if u[-1] + v[0] not in self.inside:
+            return True
+        if u[-1] == v[0] == SPACE or not self.ordered:
+            return self.merged(u + v) == [u, v]
+        merges = self.score.get
+        for x, cx in self.edge(u, 1):
+            for y, cy in self.edge(v, 0):
+                s = merges(x + y)
+                if s is not None and s > cx and s >= cy:
+                    return False
+        return True
+
+    def finite(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Whether the arcs from pieces u to v (numbers; UNKNOWN u: all) have finite weight."""
+        key = np.where(u < 0, 0, u).astype(np.int64) * self.width + v
+        known = np.where(u < 0, 1, self.pairs.get(key))
+        new = np.unique(key[known < 0])
+        if len(new):
+            if self.pairs.n + len(new) > HELD_PAIRS:
+                self.pairs = IntMap(np.int8)
+            found = np.array([self.follows(self.names[k // self.width], self.names[k % self.width])
+                              for k in new.tolist()], np.int8)
+            self.pairs.put(new, found)
+            lacks = known < 0
+            known[lacks] = found[np.searchsorted(new, key[lacks])]
+        return known > 0
+
+    def shortest_paths(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The least paths of many strings: (pieces, sizes). Row r of pieces holds the
+        piece numbers of string r from its end to its start (UNKNOWN: a character that
+        is no piece), sizes their count, 0 if no path is finite.
+
+        All strings go through their positions side by side. ``last[r, i]`` is the piece
+        of the one state at position i whose distance from the start is finite, ``came``
+        where its arc began.
         """
-        n, lexicon, trie, pairs = len(word), self.lexicon, self.trie, self.pairs
-        arcs: dict[int, list[str]] = {}
-        seen: set[tuple[int, str]] = set()
-        path: list[str] = [""]
-        todo: list[tuple[int, int, str]] = [(1, 0, "")]  # (place in path, position, piece)
-        while todo:
-            depth, i, last = todo.pop()
-            if (i, last) in seen:
-                continue
-            seen.add((i, last))
-            del path[depth:]
-            if last:
-                path.append(last)
-                depth += 1
-            if i == n:
-                return path[1:]
-            here = arcs.get(i)
-            if here is None:
-                here, end, v = [word[i]], i + 2, word[i:i + 2]
-                while end <= n and v in trie:
-                    if v in lexicon:
-                        here.append(v)
-                    end += 1
-                    v = word[i:end]
-                arcs[i] = here
-            for v in here:  # the longest is pushed last and so tried first
-                known = pairs.get((last, v))
-                if known is None:
-                    known = self.follows(last, v)
-                if known:
-                    todo.append((depth, i + len(v), v))
-        return self.merged(word)  # no finite path: the definition decides
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        wide = int(n.max(initial=1))
+        codes = self.code[np.array(words, f"U{wide}").view(np.uint32).reshape(len(words), wide)]
+        last = np.full((len(words), wide + 1), NONE, np.int32)
+        came = np.zeros((len(words), wide + 1), np.int32)
+        last[:, 0] = UNKNOWN
+
+        def enter(rows, end, pieces, start):
+            free = last[rows, end] == NONE
+            last[rows[free], end], came[rows[free], end] = pieces[free], start
+
+        for i in range(wide):
+            rows = np.flatnonzero((n > i) & (last[:, i] != NONE))
+            u, node, alone = last[rows, i], np.zeros(len(rows), np.int64), rows
+            for k in range(1, min(self.longest, wide - i) + 1):
+                c = codes[rows, i + k - 1]
+                child = self.nodes.get(node * self.letters + c)
+                goes = (child > 0) & (c > 0) & (n[rows] >= i + k)
+                rows, u, node = rows[goes], u[goes], child[goes].astype(np.int64)
+                if not len(rows):
+                    break
+                piece = self.piece_at[node]
+                ends = piece >= 0
+                if k == 1:  # characters that are no piece take the arc of their bytes
+                    alone = np.setdiff1d(alone, rows[ends], assume_unique=True)
+                good = np.flatnonzero(ends)
+                good = good[self.finite(u[good], piece[good])]
+                enter(rows[good], i + k, piece[good], i)
+            enter(alone, i + 1, np.full(len(alone), UNKNOWN, np.int32), i)
+        at, row = n.copy(), np.arange(len(words))
+        sizes = np.zeros(len(words), np.int64)
+        pieces = np.full((len(words), wide), NONE, np.int32)
+        left = np.flatnonzero((last[row, n] != NONE) & (n > 0))
+        for step in range(wide):
+            if not len(left):
+                break
+            pieces[left, step] = last[left, at[left]]
+            at[left] = came[left, at[left]]
+            sizes[left] = step + 1
+            left = left[at[left] > 0]
+        return pieces, sizes
 
     def cuts(self, word: str) -> list[str]:
         """The word's parts between characters that no piece holds side by side: no
@@ -189,43 +327,77 @@ class PieceFst:
         out.append(word[at:])
         return out
 
-    def ids(self, word: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.shortest_path(word):
-            at = self.lexicon.get(piece)
-            if at is None:
-                out.extend(self.byte_id[b] for b in piece.encode())
-            else:
-                out.append(at)
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Ids of strings without cuts, as 32-bit little-endian numbers."""
+        out: list[bytes] = [b""] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        at = 0
+        while at < len(order):  # strings of like length together, in arrays of bounded size
+            end = at
+            while end < len(order) and (end == at or len(words[order[end]]) <= 1.5 * len(words[order[at]]) + 4) and (
+                    end - at + 1) * (len(words[order[end]]) + 1) <= 1 << 20:
+                end += 1
+            mine = order[at:end]
+            pieces, sizes = self.shortest_paths([words[i] for i in mine])
+            odd = set(np.flatnonzero((sizes == 0) | (pieces == UNKNOWN).any(axis=1)).tolist())
+            used = np.arange(pieces.shape[1])[::-1] < sizes[:, None]
+            packed = pieces[:, ::-1][used].astype("<i4").tobytes()
+            ends = (4 * np.cumsum(sizes)).tolist()
+            for k, (i, start, stop) in enumerate(zip(mine, [0, *ends], ends, strict=False)):
+                out[i] = (packed[start:stop] if k not in odd
+                          else self._with_bytes(words[i], pieces[k, :sizes[k]][::-1].tolist()))
+            at = end
         return out
 
-    def word_ids(self, word: str, cache: dict[str, bytes]) -> bytes:
-        """Ids of a word, as 32-bit little-endian numbers, by the cached paths of its parts."""
-        if len(cache) >= HELD:
-            cache.clear()
-        parts = []
-        for part in self.cuts(word.replace(" ", SPACE)):
-            got = cache.get(part)
-            if got is None:
-                got = struct.pack(f"<{len(ids := self.ids(part))}i", *ids)
-                if len(part) <= LONGEST_HELD:
-                    cache[part] = got
-            parts.append(got)
-        got = b"".join(parts)
-        if len(word) <= LONGEST_HELD:
-            cache[word] = got
-        return got
+    def _with_bytes(self, word: str, path: list[int]) -> bytes:
+        if word and not path:  # not seen: merging always ends in pieces whose arcs are finite
+            return b"".join(self.packed[self.lexicon[p]] if p in self.lexicon else self._bytes(p)
+                            for p in self.merged(word))
+        out, at = [], 0
+        for p in path:
+            out.append(self.packed[p] if p >= 0 else self._bytes(word[at]))
+            at += len(self.names[p]) if p >= 0 else 1
+        return b"".join(out)
+
+    def _bytes(self, c: str) -> bytes:
+        return b"".join(self.packed[self.byte_id[b]] for b in c.encode())
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of parts of texts; those that are no short run of letters are cut further."""
+        spaced = [w.replace(" ", SPACE) for w in words]
+        cut = [[w] if w[-1].isalpha() and len(w) <= LONGEST_HELD else self.cuts(w) for w in spaced]
+        single = list(dict.fromkeys(c for cs in cut for c in cs))
+        ids = dict(zip(single, self.ids(single), strict=True))
+        return [b"".join([ids[c] for c in cs]) for cs in cut]
+
+    def encode_all(self, texts: list[str | None], cache: Paths) -> list[np.ndarray]:
+        """Ids of texts: their words are looked up together, what isn't held is searched
+        together."""
+        out: list[np.ndarray] = []
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end] or "") <= TOGETHER):
+                size += len(texts[end] or "")
+                end += 1
+            words = [self.parts.findall(self.prefix + t.replace(SPACE, " ")) if t else [] for t in texts[at:end]]
+            found = [list(map(cache.young.get, ws)) for ws in words]
+            lacks = list(dict.fromkeys(w for ws, fs in zip(words, found, strict=True) if None in fs
+                                       for w, f in zip(ws, fs, strict=True) if f is None))
+            if lacks:
+                fresh = {w: cache.old.get(w) for w in lacks}
+                new = [w for w, got in fresh.items() if got is None]
+                fresh.update(zip(new, self._word_ids(new), strict=True))
+                for w, got in fresh.items():
+                    cache.put(w, got)
+                found = [[fresh[w] if f is None else f for w, f in zip(ws, fs, strict=True)] if None in fs else fs
+                         for ws, fs in zip(words, found, strict=True)]
+            out += [np.frombuffer(b"".join(fs), "<i4") for fs in found]
+            at = end
+        return out
 
-    def encode(self, text: str, cache: dict[str, bytes]) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        parts = []
-        for w in re.findall(r" *[^ ]+| +", self.prefix + text.replace(SPACE, " ")):
-            got = cache.get(w)
-            if got is None:
-                got = self.word_ids(w, cache)
-            parts.append(got)
-        return np.frombuffer(b"".join(parts), "<i4")
+    def encode(self, text: str, cache: Paths) -> np.ndarray:
+        return self.encode_all([text], cache)[0]
 
     def decode(self, ids: np.ndarray) -> str:
         out = b"".join(map(self.written.__getitem__, ids.tolist()))
@@ -240,9 +412,9 @@ def _fst(path: str) -> PieceFst:
 
 def _encoded(path: str):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fst, cache = _fst(path), worker_state(path, "words", dict)
+        fst, cache = _fst(path), worker_state(path, "words", Paths)
         for b in slices(batches):
-            ids = [fst.encode(t or "", cache) for t in b.column("text").to_pylist()]
+            ids = fst.encode_all(b.column("text").to_pylist(), cache)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))],
                                              names=[*b.schema.names, "ids"])
     return encoded
@@ -280,13 +452,13 @@ def _digest(path: str):
     names = ["doc_id", "n_bytes", "n_pieces", "n_fallback", "ids_sha256", "round_trip"]
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fst, cache = _fst(path), worker_state(path, "words", dict)
+        fst, cache = _fst(path), worker_state(path, "words", Paths)
         is_byte = np.zeros(len(fst.written), bool)
         is_byte[list(fst.byte_id.values())] = True
         for b in slices(batches):
             out: list[list] = [[] for _ in names[2:]]
-            for t in b.column("text").to_pylist():
-                ids = fst.encode(t or "", cache)
+            texts = b.column("text").to_pylist()
+            for t, ids in zip(texts, fst.encode_all(texts, cache), strict=True):
                 row = (len(ids), int(is_byte[ids].sum()), hashlib.sha256(ids.tobytes()).hexdigest(),
                        fst.decode(ids) == (t or "").replace(SPACE, " "))
                 for o, v in zip(out, row, strict=True):

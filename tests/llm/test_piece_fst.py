@@ -25,7 +25,7 @@ def test_matches_the_library(fst, library):
     parts = list("aeiou tnrslhd  ▁\n\té漢字😀.<0x>s/1230==--") + ["the ", "ing", "    ", "return ", "<s>", "<0x0A>", "\0"]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 60))) for _ in range(3000)]
     texts += [" " * k for k in range(70)] + ["a" + " " * k + "b" for k in range(40)] + [t or "" for _, t, *_ in documents()]
-    cache = {}
+    cache = piece_fst.Paths(20_000)  # a small one: words come and go
     for t in texts:
         ids = fst.encode(t, cache)
         assert ids.tolist() == library.encode(t)
@@ -40,7 +40,55 @@ def test_merge_order_is_the_definition(fst):
         assert fst.follows(u, v) == (fst.merged(u + v) == [u, v])
     for _ in range(300):
         word = "▁" + "".join(r.choice("etaoinshr") for _ in range(r.randint(1, 40)))
-        assert fst.shortest_path(word) == fst.merged(word)
+        assert path_of(fst, word) == fst.merged(word)
+
+
+def path_of(fst, word):
+    """Pieces, or characters that are none, of the least path."""
+    pieces, sizes = fst.shortest_paths([word])
+    out, at = [], 0
+    for p in pieces[0, :sizes[0]][::-1].tolist():
+        out.append(fst.names[p] if p >= 0 else word[at])
+        at += len(out[-1])
+    return out
+
+
+def test_the_path_is_the_only_finite_one(fst):
+    """All paths through the composition, weighted by the definition: one is finite."""
+    r = random.Random(3)
+
+    def paths(word):
+        if not word:
+            yield []
+        for k in range(1, len(word) + 1):
+            if word[:k] in fst.lexicon:
+                for rest in paths(word[k:]):
+                    yield [word[:k], *rest]
+    for _ in range(150):
+        word = "▁" + "".join(r.choice("etaoinsh") for _ in range(r.randint(1, 7)))
+        finite = [p for p in paths(word) if all(fst.merged(u + v) == [u, v] for u, v in zip(p, p[1:], strict=False))
+                  and all(fst.merged(u) == [u] for u in p)]
+        assert finite == [path_of(fst, word)]
+
+
+def test_strings_of_few_letters_and_without_pieces(fst):
+    r = random.Random(4)
+    words = ["".join(r.choice("=- \n.az\0漢\ue000"[:r.randint(2, 10)]).replace(" ", "▁") for _ in range(r.randint(1, 60)))
+             for _ in range(2000)]
+    parts = [p for w in words for p in fst.cuts(w)]
+    want = [b"".join(fst.packed[fst.lexicon[p]] if p in fst.lexicon else fst._bytes(p) for p in fst.merged(x))
+            for x in parts]
+    assert fst.ids(parts) == want
+
+
+def test_integer_map():
+    m = piece_fst.IntMap(np.int32)
+    r = np.random.default_rng(0)
+    keys = r.choice(1 << 40, 20_000, replace=False)
+    for i in range(0, 20_000, 1700):
+        m.put(keys[i:i + 1700], np.arange(i, min(i + 1700, 20_000)))
+    assert (m.get(keys) == np.arange(20_000)).all()
+    assert (m.get(keys + (1 << 41)) == -1).all()
 
 
 def test_query_rows(spark, library):

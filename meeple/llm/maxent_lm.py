@@ -1,225 +1,303 @@
 """Operator 9: a hashed maximum-entropy language model.
 
-The probability of a word is that of its class given hashed features of the two
-words before it, times its smoothed share of the class:
+The probability of a word is that of its class given hashed features of the words
+before it, times its smoothed share of the class:
 
 * features: the previous word (bigram), the word before that (skip), and both
-  together (trigram), each hashed into a fixed number of buckets;
-* classes: a softmax over ``CLASSES`` hashed word endings, so that unseen words
-  have a class too;
-* training: the corpus is reduced in one pass to exact counts (words, and class
-  by context); the softmax weights are then trained on these counts by updates
-  whose gradients are computed by distributed tasks.
-
-Scoring works on batches of token arrays. Counts of frequent words go to all
-tasks in one bounded table; counts of other words are joined.
+  together (trigram); whole words are hashed, into a space that grows with the
+  square root of the training tokens, so the weights stay far smaller than the corpus;
+* classes: a softmax over ``CLASSES`` classes of whole words by hash, so that unseen
+  words have a class too;
+* training: word counts are exact; the softmax weights are trained by distributed
+  gradient updates. Every update reads its own share of the training documents, all
+  of them together read each document once. Tasks sum both sides of the gradient,
+  what was seen and what the model expects, and Spark adds the tasks' sums up; the
+  driver gets one sum per weight however many tasks there are.
+
+Scoring works on batches of token arrays. Counts of frequent words go to all tasks in
+one table bounded in bytes; counts of other words are joined.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import crc_of_id, heaviest, picked, pin, stored, table
+from meeple.llm.common import crc_of_id, heaviest, let_go, picked, stored, table
 
 CLASSES = 64
-PREVIOUS, SKIP, BOTH = 128, 32, 1024  # buckets of the three feature kinds
-FREQUENT = 50_000  # words at most whose counts all tasks get
-HELD = 400_000  # distinct words a task holds at once
-UPDATES = 12
-GRADIENT_TASKS = 8
+FREQUENT, LONGEST = 50_000, 64  # words at most whose counts all tasks get, and their bytes at most
+BLOCK_BYTES = 2 << 20  # texts whose words are made distinct together
+HELD = 400_000  # distinct words a task holds before it sends them
+UPDATES = 6
+TOKENS_A_WEIGHT_ROW = 25  # a task sums over so many tokens for each row of weights it sends
 SHRINK = 1.0  # pseudo-count on both sides of an update: rare features stay near zero
-STEP = 0.35  # of the log ratio; scaling over four features at a time is monotone at 1/4
+STEP = 0.5  # of the log ratio; scaling over four features at a time is monotone at 1/4
 SMOOTHING = 0.1
 END = b" "  # no word holds a space
-CONTEXTS = PREVIOUS * SKIP
+PART = 1 << 13  # tokens whose class scores are in memory at once
+ROWS_SENT = 1 << 12  # rows of weights in one sent piece
 
 
 def tokens(data: bytes) -> list[bytes]:
     return [*data.lower().split(), END]  # bytes.lower changes A-Z only
 
 
-def _bucket(token: bytes) -> tuple[int, int, int]:
-    """(class, bucket as previous word, bucket as word before it) by the token's end."""
-    h = zlib.crc32(token[-3:])
-    return (0 if token == END else 1 + h % (CLASSES - 1)), (h >> 8) % PREVIOUS, (h >> 16) % SKIP
-
-
-def _both(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    return (h1 * 7919 + h2 * 104729) % BOTH
-
-
-class _Ids(dict):
-    """token -> number in order of appearance; keeps each token's hashes."""
-
-    def __init__(self):
-        super().__init__()
-        self.rows: list[tuple[int, int, int]] = []
-        self.start = _bucket(b"")
-
-    def __missing__(self, token: bytes) -> int:
-        self[token] = n = len(self.rows)
-        self.rows.append(_bucket(token))
-        return n
-
-    def contexts(self, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """Context number of each token of one text."""
-        h1 = np.concatenate([[self.start[1]], hashes[ids[:-1], 1]])
-        h2 = np.concatenate([[self.start[2]] * 2, hashes[ids[:-2], 2]])[: len(ids)]
-        return h1 * SKIP + h2
-
-
-def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts -> (word, class, n) and (null, context and class, n) of this task."""
-    def rows(words, place, n):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(place, pa.int32()), pa.array(n, pa.int64())],
-            names=["word", "place", "n"])
-
-    def flushed():
-        words = list(ids)
-        for i in range(0, len(words), 50_000):
-            yield rows(words[i:i + 50_000], [r[0] for r in ids.rows[i:i + 50_000]], counts[i:i + 50_000])
-
-    ids, cells, counts = _Ids(), np.zeros(CONTEXTS * CLASSES, np.int64), np.zeros(0, np.int64)
-    for b in batches:
-        found = [np.fromiter(map(ids.__getitem__, ts), np.int64, len(ts))
-                 for ts in map(tokens, b.column("data").to_pylist())]
-        if not found:
-            continue
-        hashes = np.array(ids.rows, np.int64)
-        counts = np.concatenate([counts, np.zeros(len(ids) - len(counts), np.int64)])
-        counts += np.bincount(np.concatenate(found), minlength=len(ids))
-        cell = np.concatenate([ids.contexts(f, hashes) * CLASSES + hashes[f, 0] for f in found])
-        cells += np.bincount(cell, minlength=len(cells))
-        if len(ids) > HELD:
-            yield from flushed()
-            ids, counts = _Ids(), np.zeros(0, np.int64)
-    yield from flushed()
-    used = np.flatnonzero(cells)
-    for i in range(0, len(used), 50_000):
-        part = used[i:i + 50_000]
-        yield rows([None] * len(part), part.astype(np.int32), cells[part])
+class Space:
+    """Sizes of the feature space and the rows of features in one weight matrix: bias,
+    bigram, skip, trigram, one below the other."""
+
+    def __init__(self, n_tokens: int):
+        bigram = 1 << max(6, int(np.ceil(np.log2(2 * np.sqrt(max(1, n_tokens))))))
+        self.sizes = (1, bigram, bigram // 2, bigram)
+        self.rows = sum(self.sizes)
+
+    def features(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows for the hashes of the previous word and of the one before it."""
+        _, a, b, c = (np.uint64(s) for s in self.sizes)
+        both = _mixed(first * np.uint64(0x9E3779B97F4A7C15) + second)
+        return ((first % a).astype(np.int64) + 1, (second % b).astype(np.int64) + 1 + int(a),
+                (both % c).astype(np.int64) + 1 + int(a + b))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    import xxhash
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+
+
+def class_of(word_hash: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """The end is a class of its own, all words share the others."""
+    out = 1 + (word_hash >> np.uint64(40)) % np.uint64(CLASSES - 1)
+    return np.where(np.fromiter((w == END for w in words), bool, len(words)), 0, out.astype(np.int64))
+
+
+class Block:
+    """The tokens of some texts: ``words`` (distinct), their hashes and classes, ``at``
+    (place of each token's word), ``size`` of each text."""
+
+    def __init__(self, texts: list[bytes]):
+        found = [tokens(t) for t in texts]
+        self.size = np.fromiter(map(len, found), np.int64, len(found))
+        coded = pa.array([w for f in found for w in f], pa.binary()).dictionary_encode()
+        self.words, self.at = coded.dictionary, coded.indices.to_numpy()
+        names = self.words.to_pylist()
+        self.hash = hashes(names)
+        self.cls = class_of(self.hash, names)
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the word before each token and of the one before that (0: none)."""
+        h, n = self.hash[self.at], len(self.at)
+        start = np.zeros(n, bool)
+        start[np.cumsum(self.size) - self.size] = True
+        first, second = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        first[1:] = h[:-1]
+        first[start] = 0
+        second[1:] = first[:-1]
+        second[start] = 0
+        return first, second
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, Block]]:
+    """Rows in groups of about BLOCK_BYTES of the column ``data``."""
+    held, size = [], 0
+    for whole in batches:
+        for at in range(0, whole.num_rows, 128):
+            b = whole.slice(at, 128)
+            held.append(b)
+            size += b.column("data").nbytes
+            if size >= BLOCK_BYTES:
+                t = pa.Table.from_batches(held)
+                yield t, Block(t["data"].to_pylist())
+                held, size = [], 0
+    if sum(b.num_rows for b in held):
+        t = pa.Table.from_batches(held)
+        yield t, Block(t["data"].to_pylist())
+
+
+# --- counts -----------------------------------------------------------------------------
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
+    held, rows = [], 0
+
+    def merged():
+        t = pa.concat_tables(held).group_by(["word", "class"]).aggregate([("n", "sum")])
+        return pa.table({"word": t["word"], "class": t["class"], "n": t["n_sum"]})
+    for _, b in blocks(batches):
+        held.append(pa.table({"word": b.words, "class": pa.array(b.cls.astype(np.int32)),
+                              "n": pa.array(np.bincount(b.at, minlength=len(b.words)))}))
+        rows += len(b.words)
+        if rows > 2 * HELD:
+            held = [merged()]
+            rows = held[0].num_rows
+            if rows > HELD:
+                yield from held[0].to_batches(max_chunksize=50_000)
+                held, rows = [], 0
+    if held:
+        yield from merged().to_batches(max_chunksize=50_000)
+    pa.default_memory_pool().release_unused()
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
-    """(word, place, n): exact counts of all words (place: class) and, with a null
-    word, of all classes in all contexts (place: context * CLASSES + class)."""
-    return stored(texts.mapInArrow(_reduced, "word binary, place int, n bigint")
-                  .groupBy("word", "place").agg(F.sum("n").alias("n")), "lm-counts")
+    """(word, class, n): exact counts of all words of texts(data)."""
+    return stored(texts.mapInArrow(_counted, "word binary, class int, n bigint")
+                  .groupBy("word", "class").agg(F.sum("n").alias("n")), "lm-counts")
 
 
-SHAPES = ((1, CLASSES), (PREVIOUS, CLASSES), (SKIP, CLASSES), (BOTH, CLASSES))
+# --- training -----------------------------------------------------------------------------
 
-
-def _log_softmax(weights: list[np.ndarray], context: np.ndarray) -> np.ndarray:
-    h1, h2 = context // SKIP, context % SKIP
-    bias, prev, skip, both = weights
-    x = bias[0] + prev[h1] + skip[h2] + both[_both(h1, h2)]
+def log_softmax(weights: np.ndarray, rows: tuple[np.ndarray, ...]) -> np.ndarray:
+    """(contexts, CLASSES): natural logs of the classes' probabilities."""
+    x = weights[rows[0]]
+    for r in rows[1:]:
+        x += weights[r]
+    x += weights[0]
     x -= x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
-def _gradients(sent):
-    """Counts of some contexts -> one row: the two sides of the gradient of all weights,
-    what was observed and what the model expects."""
+    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    return x
+
+
+def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """total[rows[i]] += values[i], rows repeating."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    total[rows[first]] += np.add.reduceat(values[order], first, axis=0)
+
+
+def gradient_sides(space: Space, weights: np.ndarray, block: Block, seen: np.ndarray, expected: np.ndarray) -> None:
+    """Add what a block's tokens show and what the weights expect there, per feature
+    row and class."""
+    first, second = block.contexts()
+    cls = block.cls[block.at]
+    for k in range(0, len(cls), PART):
+        c = cls[k:k + PART]
+        rows = space.features(first[k:k + PART], second[k:k + PART])
+        p = np.exp(log_softmax(weights, rows))
+        for r in rows:
+            np.add.at(seen.reshape(-1), r * CLASSES + c, np.float32(1))
+            _add_rows(expected, r, p)
+        seen[0] += np.bincount(c, minlength=CLASSES)
+        expected[0] += p.sum(axis=0)
+
+
+def _gradients(space: Space, sent):
     def gradients(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column("place").to_numpy(), b.column("n").to_numpy()) for b in batches]
-        if not sum(len(p) for p, _ in parts):
-            return
-        place, n = (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True))
-        context, at = np.unique(place // CLASSES, return_inverse=True)
-        seen = np.zeros((len(context), CLASSES))
-        np.add.at(seen, (at, place % CLASSES), n)
-        log_p = _log_softmax(sent.value, context)
-        p, total = np.exp(log_p), seen.sum(axis=1, keepdims=True)
-        h1, h2 = context // SKIP, context % SKIP
-        out = []
-        for values in (seen, total * p):
-            for shape, rows in zip(SHAPES, (h1 * 0, h1, h2, _both(h1, h2)), strict=True):
-                g = np.zeros(shape)
-                np.add.at(g, rows, values)
-                out.append(g.ravel())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([np.concatenate(out).tobytes()], pa.binary()),
-             pa.array([float((seen * log_p).sum())], pa.float64())], names=["sums", "likelihood"])
+        let_go()
+        sides = np.zeros((2, space.rows, CLASSES), np.float32)
+        some = False
+        for _, block in blocks(batches):
+            gradient_sides(space, sent.value, block, sides[0], sides[1])
+            some = True
+        for piece in range(0, space.rows if some else 0, ROWS_SENT):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([piece // ROWS_SENT], pa.int32()),
+                 pa.array([sides[:, piece:piece + ROWS_SENT].tobytes()], pa.binary())], names=["piece", "sums"])
     return gradients
 
 
-def train_classes(counts: DataFrame, updates: int = UPDATES) -> list[np.ndarray]:
-    """Softmax weights by ``updates`` full updates (damped generalised iterative
-    scaling). Each task of GRADIENT_TASKS sums the gradient's sides over its
-    contexts; the driver adds that many small arrays."""
-    cells = pin(counts.filter("word IS NULL").select("place", "n")
-                .repartition(GRADIENT_TASKS, F.floor(F.col("place") / F.lit(CLASSES))))
-    weights = [np.zeros(s) for s in SHAPES]
-    ends = np.cumsum([a * b for a, b in SHAPES])
-    sc = counts.sparkSession.sparkContext
-    for _ in range(updates):
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of one piece after another (rows come in the order of pieces) added up."""
+    now, total = None, None
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                          names=["piece", "sums"])
+    for b in batches:
+        for r in range(b.num_rows):
+            piece, sums = b.column("piece")[r].as_py(), np.frombuffer(b.column("sums")[r].as_py(), np.float32)
+            if piece == now:
+                total += sums
+            else:
+                if now is not None:
+                    yield out()
+                now, total = piece, sums.copy()
+    if now is not None:
+        yield out()
+
+
+def train_classes(texts: DataFrame, space: Space, n_tokens: int, mass: np.ndarray,
+                  updates: int = UPDATES) -> np.ndarray:
+    """Weights (rows of features, CLASSES) from texts(share, data): ``updates`` damped
+    steps of iterative scaling, each over its share of the texts. ``mass`` counts the
+    classes' training tokens: the bias starts from them."""
+    weights = np.zeros((space.rows, CLASSES), np.float32)
+    weights[0] = np.log((mass + SMOOTHING) / (mass + SMOOTHING).sum())
+    sc = texts.sparkSession.sparkContext
+    tasks = max(1, round(n_tokens / updates / (TOKENS_A_WEIGHT_ROW * space.rows)))
+    for u in range(updates if n_tokens else 0):
         sent = sc.broadcast(weights)
-        sums = cells.mapInArrow(_gradients(sent), "sums binary, likelihood double").collect()
+        sums = (texts.filter(F.col("share") == u).select("data").coalesce(tasks)
+                .mapInArrow(_gradients(space, sent), "piece int, sums binary")
+                .repartition("piece").sortWithinPartitions("piece").mapInArrow(_added, "piece int, sums binary"))
+        for r in sums.toLocalIterator():  # a row per piece of the weights
+            seen, expected = np.frombuffer(r.sums, np.float32).reshape(2, -1, CLASSES)
+            at = slice(r.piece * ROWS_SENT, r.piece * ROWS_SENT + len(seen))
+            weights[at] += STEP * np.log((seen + SHRINK) / (expected + SHRINK))
         sent.unpersist()
-        if not sums:
-            break
-        both = np.sum([np.frombuffer(r.sums) for r in sums], axis=0)
-        seen, expected = both[: ends[-1]], both[ends[-1]:]
-        step = STEP * np.log((seen + SHRINK) / (expected + SHRINK))
-        for i, shape in enumerate(SHAPES):
-            weights[i] = weights[i] + step[ends[i] - shape[0] * shape[1]: ends[i]].reshape(shape)
     return weights
 
 
+# --- scoring ------------------------------------------------------------------------------
+
 SCORED = ("row bigint, doc_id {id}, held_out boolean, n_tokens bigint, n_known bigint, words double,"
           " classes double, word binary, tf bigint")
 
 
+def class_scores(space: Space, weights: np.ndarray, offset: np.ndarray, block: Block) -> np.ndarray:
+    """Per token log10 of its class's probability, less the log10 mass of the class."""
+    first, second = block.contexts()
+    cls = block.cls[block.at]
+    out = np.zeros(len(cls))
+    for k in range(0, len(cls), PART):
+        c = cls[k:k + PART]
+        log_p = log_softmax(weights, space.features(first[k:k + PART], second[k:k + PART]))
+        out[k:k + PART] = log_p[np.arange(len(c)), c] / np.log(10) - offset[c]
+    return out
+
+
 def _scored(sent):
     """Texts -> a row per text with the sums over its frequent words, and a row per
     other word with its count in the text. A text's row has a key no word equals."""
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, table_ = sent.value
-        ids, logs = _Ids(), np.zeros(0)
-        for b in batches:
-            if len(ids) > HELD:
-                ids, logs = _Ids(), np.zeros(0)
-            found = [np.fromiter(map(ids.__getitem__, ts), np.int64, len(ts))
-                     for ts in map(tokens, b.column("data").to_pylist())]
-            hashes = np.array(ids.rows, np.int64).reshape(-1, 3)
-            words = list(ids)
-            new = [frequent.get(w, np.nan) for w in words[len(logs):]]
-            logs = np.concatenate([logs, new])
-            doc = {k: [] for k in ("n", "known", "words", "classes", "key")}
-            rare: dict[str, list] = {"row": [], "word": [], "tf": []}
-            for row, f in zip(b.column("row").to_pylist(), found, strict=True):
-                got = logs[f]
-                lacks = np.isnan(got)
-                doc["n"].append(len(f))
-                doc["known"].append(int(len(f) - lacks.sum()))
-                doc["words"].append(float(got[~lacks].sum()))
-                doc["classes"].append(float(table_[ids.contexts(f, hashes), hashes[f, 0]].sum(dtype=np.float64)))
-                doc["key"].append(b" %d" % row)
-                if lacks.any():
-                    u, tf = np.unique(f[lacks], return_counts=True)
-                    rare["row"].extend([row] * len(u))
-                    rare["word"].extend(words[i] for i in u)
-                    rare["tf"].extend(tf.tolist())
-            n = len(doc["n"])
+        let_go()
+        space, weights, offset, frequent, logs = sent.value
+        logs = np.concatenate([logs, [np.nan]])
+        for t, b in blocks(batches):
+            place = pc.index_in(b.words, frequent).fill_null(len(logs) - 1).to_numpy()
+            got = logs[place][b.at]
+            lacks = np.isnan(got)
+            starts = np.cumsum(b.size) - b.size
+            doc = np.repeat(np.arange(len(b.size)), b.size)
+            known = np.add.reduceat(~lacks, starts, dtype=np.int64)
+            words = np.add.reduceat(np.where(lacks, 0, got), starts)
+            classes = np.add.reduceat(class_scores(space, weights, offset, b), starts)
+            row, n = t["row"].combine_chunks(), len(starts)
+            keys = pa.array([b" %d" % r for r in row.to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("doc_id"), b.column("held_out"), pa.array(doc["n"], pa.int64()),
-                 pa.array(doc["known"], pa.int64()), pa.array(doc["words"], pa.float64()),
-                 pa.array(doc["classes"], pa.float64()), pa.array(doc["key"], pa.binary()),
-                 pa.nulls(n, pa.int64())], names=names)
-            k = len(rare["row"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rare["row"], pa.int64()), pa.nulls(k, b.column("doc_id").type), pa.nulls(k, pa.bool_()),
-                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()),
-                 pa.nulls(k, pa.float64()), pa.array(rare["word"], pa.binary()), pa.array(rare["tf"], pa.int64())],
-                names=names)
+                [row, t["doc_id"].combine_chunks(), t["held_out"].combine_chunks(), pa.array(b.size), pa.array(known),
+                 pa.array(words), pa.array(classes), keys, pa.nulls(n, pa.int64())], names=names)
+            pair, tf = np.unique(doc[lacks] * len(b.words) + b.at[lacks], return_counts=True)
+            for k in range(0, len(pair), 50_000):
+                part = pair[k:k + 50_000]
+                m = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [row.take(pa.array(part // len(b.words))), pa.nulls(m, t["doc_id"].type), pa.nulls(m, pa.bool_()),
+                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()),
+                     pa.nulls(m, pa.float64()), b.words.take(pa.array(part % len(b.words))),
+                     pa.array(tf[k:k + 50_000].astype(np.int64))], names=names)
+        pa.default_memory_pool().release_unused()
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "words", "classes", "word", "tf"]
     return scored
 
@@ -228,30 +306,36 @@ def score(docs: DataFrame) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score.
 
-    Rows whose crc32(doc_id as text) % 10 is 0 are held out of all counts. Null
-    text counts as empty: one token, the end. Without training rows every word is
-    unknown. Repeated rows give a row each.
+    Rows whose crc32(doc_id as text) % 10 is 0 are held out of all counts and updates.
+    Whole texts of any length are scored; a null text counts as empty: one token, the
+    end. Without training rows every word is unknown. Repeated rows give a row each;
+    an empty table gives none.
     """
     docs = picked(docs, "doc_id", "text")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
                        (crc_of_id() % 10 == 0).alias("held_out"),
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
-    counts = corpus_counts(rows.filter("NOT held_out").select("data"))
-    words = counts.filter("word IS NOT NULL")
-    per_class = {r.place: (r.n, r.v) for r in words.groupBy("place").agg(
+    training = rows.filter("NOT held_out")
+    counts = corpus_counts(training.select("data"))
+    per_class = {r["class"]: (r.n, r.v) for r in counts.groupBy("class").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}  # at most CLASSES rows
-    n_all, v_all = (sum(x[i] for x in per_class.values()) for i in (0, 1))
-
-    mass = [per_class.get(c, (0, 0)) for c in range(CLASSES)]
-    log_p = _log_softmax(train_classes(counts), np.arange(CONTEXTS)) / np.log(10)
-    table_ = (log_p - np.log10([n + SMOOTHING * (v + 1) for n, v in mass])).astype(np.float32)
-    frequent = {bytes(r.word): r.log for r in heaviest(words, "n", FREQUENT).select(
-        "word", F.log10(F.col("n") + SMOOTHING).alias("log")).toLocalIterator()}
-    sent = docs.sparkSession.sparkContext.broadcast((frequent, table_))
+    mass = np.array([per_class.get(c, (0, 0)) for c in range(CLASSES)], float)
+    n_all, v_all = int(mass[:, 0].sum()), int(mass[:, 1].sum())
+
+    space = Space(n_all)
+    # rows with one id may share an update; null ids take the first
+    share = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(UPDATES)), F.lit(0)).cast("int")
+    weights = train_classes(training.select(share.alias("share"), "data"), space, n_all, mass[:, 0])
+    offset = np.log10(mass[:, 0] + SMOOTHING * (mass[:, 1] + 1))
+    short = counts.filter(F.octet_length("word") <= LONGEST)
+    frequent = sorted((bytes(r.word), r.log) for r in heaviest(short, "n", FREQUENT).select(
+        "word", F.log10(F.col("n") + SMOOTHING).alias("log")).collect())  # FREQUENT * LONGEST bytes at most
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (space, weights, offset, pa.array([w for w, _ in frequent], pa.binary()), np.array([x for _, x in frequent])))
 
     kind = dict(rows.dtypes)["doc_id"]
     parts = rows.mapInArrow(_scored(sent), SCORED.format(id=kind)).join(
-        words.select("word", "n"), "word", "left")
+        counts.select("word", "n"), "word", "left")
     other = F.col("tf") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + SMOOTHING)
     sums = parts.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),

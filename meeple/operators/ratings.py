@@ -12,11 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meeple.functions import events as ev
 from meeple.functions import text
 from meeple.operators.dense_ids import dense_ids
 from meeple.operators.joins import join_spreading_nulls
+from meeple.sources.versioned import VersionedTable
 
 
 def split_known_games(batch: DataFrame, games: DataFrame, game_col: str = "id",
@@ -116,6 +118,61 @@ def refresh_game_stats(games: DataFrame, merged_reviews: DataFrame, batch: DataF
     )
 
 
+# --- merges into versioned tables ------------------------------------------------
+
+REVIEW_ROWS = T.StructType([T.StructField("user_id", T.IntegerType()), T.StructField("id", T.IntegerType()),
+                            T.StructField("rating", T.DoubleType())])
+# the parts of an average, which can be corrected; ratings are added as decimals, so
+# what went in and out again leaves no trace
+STATS_ROWS = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("total", T.DecimalType(30, 10)),
+                           T.StructField("n", T.LongType()), T.StructField("submitted", T.LongType())])
+
+
+def stats_rows(reviews: DataFrame) -> DataFrame:
+    """STATS_ROWS of whole reviews: where incremental statistics start."""
+    value = F.col("rating").cast("decimal(20,10)")
+    return reviews.groupBy("id").agg(
+        F.coalesce(F.sum(value), F.lit(0)).cast("decimal(30,10)").alias("total"), F.count("rating").alias("n"),
+        F.count("rating").alias("submitted"))
+
+
+def merge_ratings(reviews: VersionedTable, stats: VersionedTable, batch: DataFrame, batch_id: str,
+                  order_cols: Sequence[str] = ("ts", "event_id")) -> None:
+    """U1 + U2 for one batch: reviews take the last rating of each (user, game), and
+    each touched game's statistics the difference it makes: the old rating out, the new
+    one in. Neither the reviews of the touched games nor any other bucket is read.
+
+    A batch may come again: what was applied stays as it is, and a job that failed
+    between the two tables completes, since differences are always taken against the
+    reviews as they were before this batch.
+    """
+    first = reviews.before(batch_id)
+    latest = batch.groupBy("user_id", "id").agg(
+        F.max_by(F.col("rating").cast("double"), F.struct(*order_cols)).alias("rating"),
+        F.count(F.lit(1)).alias("submitted"))
+    latest = latest.checkpoint(eager=True)  # read by both tables; batch-sized
+    old = reviews.lookup(latest, first).withColumnRenamed("rating", "before").withColumn("known", F.lit(True))
+    value = lambda c: F.coalesce(F.col(c).cast("decimal(20,10)"), F.lit(0).cast("decimal(20,10)"))
+    change = (latest.join(old, ["user_id", "id"], "left").groupBy("id").agg(
+        F.sum(value("rating") - value("before")).alias("total"),
+        F.sum(F.col("rating").isNotNull().cast("long") - F.col("before").isNotNull().cast("long")).alias("n"),
+        F.sum("submitted").alias("submitted")).checkpoint(eager=True))
+    had = stats.lookup(change, stats.before(batch_id)).select(
+        "id", *[F.col(c).alias(f"_{c}") for c in ("total", "n", "submitted")])
+    none = F.lit(0)
+    new = change.join(had, "id", "left").select(
+        "id", (F.coalesce("_total", none) + F.col("total")).cast("decimal(30,10)").alias("total"),
+        *[(F.coalesce(f"_{c}", none) + F.col(c)).cast("long").alias(c) for c in ("n", "submitted")])
+    reviews.merge(latest.select("user_id", "id", "rating"), batch_id)
+    stats.merge(new, batch_id)
+
+
+def averages(stats: DataFrame) -> DataFrame:
+    """(id, average, n, submitted) of STATS_ROWS; no average without a rating."""
+    return stats.select("id", F.when(F.col("n") > 0, F.col("total").cast("double") / F.col("n")).alias("average"),
+                        "n", "submitted")
+
+
 def register_users(existing: DataFrame, batch: DataFrame, order_col: str = "event_id") -> DataFrame:
     """Accept new users, refusing an email already taken.
 

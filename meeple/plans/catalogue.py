@@ -254,6 +254,30 @@ def game_stats_corrected(spark, d):
     return g.select("id", "average", "usersrated")
 
 
+def _merged_tables(spark, d):
+    """The versioned tables after the accepted batch in two parts by time, each applied
+    twice (a replay changes nothing)."""
+    from meeple.plans import jobs
+    base = scratch_path(spark, "rating-tables")
+    reviews, stats = jobs.start_rating_tables(spark, fx.reviews(spark, d), f"{base}/reviews", f"{base}/stats", 16)
+    batch = _accepted_batch(spark, d)
+    middle = batch.agg(F.expr("percentile(cast(ts as double), 0.5)").alias("t")).first().t
+    early = F.col("ts").cast("double") <= F.lit(middle)
+    for name, part in (("early", early), ("late", ~early), ("early", early), ("late", ~early)):
+        ratings.merge_ratings(reviews, stats, batch.filter(part), name)
+    return reviews, stats
+
+
+def reviews_versioned(spark, d):
+    """The reviews after two batches, resolved from the files of three versions."""
+    return _merged_tables(spark, d)[0].read()
+
+
+def game_stats_incremental(spark, d):
+    """Averages and counts kept by differences, of all games."""
+    return ratings.averages(_merged_tables(spark, d)[1].read()).select("id", "average", "n")
+
+
 def new_user_messages(spark, d):
     new = ratings.register_users(fx.users(spark, d), fx.signup_events(spark, d))
     return ratings.user_created_messages(new)
@@ -517,6 +541,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users_loaded": users_loaded,
     "reviews_dense": reviews_dense,
     "reviews_upserted": reviews_upserted,
+    "reviews_versioned": reviews_versioned,
+    "game_stats_incremental": game_stats_incremental,
     "game_stats_refreshed": game_stats_refreshed,
     "game_stats_corrected": game_stats_corrected,
     "new_users": new_users,

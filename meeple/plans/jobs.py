@@ -4,6 +4,7 @@
 * ``run_recommendations`` reviews -> ALS -> top-5 popular lists -> sink (S5/U4)
 * ``run_rating_merge``   a batch of submitted ratings -> new reviews and games
                          table versions (U1, U2; never overwrites what it reads)
+* ``run_rating_batch``   the same into versioned tables: a batch writes its own rows only
 * ``run_load_checks``    constraint violations, and reviews repaired of duplicates
 * ``run_daily_stream``   event messages -> daily counts, daily documents, dead letters
 """
@@ -21,6 +22,7 @@ from meeple.operators import etl, quality, ratings, recommend
 from meeple.operators import events as evops
 from meeple.session import checkpoint_dir, scratch_path
 from meeple.sources import files, jdbc
+from meeple.sources.versioned import VersionedTable
 from meeple.streaming import daily
 
 
@@ -121,6 +123,30 @@ def run_rating_merge(spark: SparkSession, reviews_path: str, games_path: str, ba
             "rejects": f"{out_dir}/rejects"}
 
 
+def run_rating_batch(spark: SparkSession, reviews_path: str, stats_path: str, games: DataFrame, batch: DataFrame,
+                     batch_id: str, rejects_path: str, buckets: int = 64,
+                     bounds: tuple[float, float] | None = None) -> None:
+    """U1 + U2 (+F8) into versioned tables: only the buckets and files that the batch
+    touches are read and written, and a batch that comes again changes nothing.
+    ``start_rating_tables`` makes the tables. Rejected rows go to ``rejects_path``."""
+    checkpoint_dir(spark)
+    accepted, rejected = ratings.split_known_games(batch, games, bounds=bounds)
+    reviews = VersionedTable(spark, reviews_path, ratings.REVIEW_ROWS, ["user_id", "id"], buckets)
+    stats = VersionedTable(spark, stats_path, ratings.STATS_ROWS, ["id"], buckets)
+    ratings.merge_ratings(reviews, stats, accepted, batch_id)
+    files.write_table(rejected, f"{rejects_path}/batch={batch_id}")
+
+
+def start_rating_tables(spark: SparkSession, reviews: DataFrame, reviews_path: str, stats_path: str,
+                        buckets: int = 64) -> tuple[VersionedTable, VersionedTable]:
+    """The versioned tables of reviews (one row per user and game) and their statistics."""
+    table = VersionedTable(spark, reviews_path, ratings.REVIEW_ROWS, ["user_id", "id"], buckets)
+    table.merge(reviews.select("user_id", "id", "rating"), "start")
+    stats = VersionedTable(spark, stats_path, ratings.STATS_ROWS, ["id"], buckets)
+    stats.merge(ratings.stats_rows(table.read()), "start")
+    return table, stats
+
+
 def run_daily_stream(messages: DataFrame, out_dir: str, checkpoint: str,
                      available_now: bool = False, watermark: str = daily.WATERMARK):
     """ST1-ST5 + S8: daily counts and daily documents from one message stream.

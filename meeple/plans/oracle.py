@@ -330,6 +330,9 @@ SELECT user_name, rating, id, pos FROM fx_reviews_raw
 WHERE user_name IS NOT NULL AND rating IS NOT NULL AND id IS NOT NULL AND pos % 59 <> 0 AND pos % 61 <> 0""")
 ORACLE["dump_positions"] = _with(["fx_reviews_raw"], """
 SELECT pos, count(*) AS n, count(*) AS places, true AS whole FROM fx_reviews_raw GROUP BY pos""")
+ORACLE["reviews_versioned"] = ORACLE["reviews_upserted"]
+ORACLE["game_stats_incremental"] = _with(["fx_upserted"], """
+SELECT id, avg(rating) AS average, count(rating) AS n FROM fx_upserted GROUP BY id""")
 ORACLE["categories_bulk_loaded"] = _with(["fx_categories"], r"""
 SELECT id,
        CASE WHEN id % 3 = 0 THEN 'A, ' || id || '|C"D|{x}||back\slash|null|<null>| pad '

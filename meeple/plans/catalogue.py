@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.functions import text
-from meeple.operators import catalog, etl, quality, ratings, recommend
+from meeple.operators import catalog, etl, quality, ratings, recommend, search
 from meeple.operators import events as evops
 from meeple.plans import fixtures as fx
 from meeple.session import scratch_path
@@ -72,6 +72,15 @@ def search_games_wildcard(spark, d):
     return catalog.search(fx.games(spark, d), "r_ng", wildcards=True).select("id", "name")
 
 
+def search_many_texts(spark, d):
+    """F4 for a table of texts: words, parts of words and short ones from all names."""
+    return search.search_many(fx.games(spark, d), fx.search_texts(spark, d)).select("text", "id")
+
+
+def search_many_wildcards(spark, d):
+    return search.search_many(fx.games(spark, d), fx.search_patterns(spark, d), wildcards=True).select("text", "id")
+
+
 def game_display(spark, d):
     return catalog.display(fx.games(spark, d)).select("id", "rank_int", "average_2dp")
 
@@ -392,6 +401,21 @@ def stream_daily_registrations(spark, d):
     return daily.run_test_stream(spark, d).registrations
 
 
+def stream_late_corrected(spark, d):
+    """ST2: every seventh message comes in a later file, days after its day was closed;
+    the closed days' counts are those of all messages."""
+    from meeple.streaming import daily, ledger
+    base = scratch_path(spark, "late-stream")
+    rows = fx.table(spark, d, "events")
+    late = F.col("event_id") % 7 == 0
+    for part in (~late, late):  # two files, one after the other: two micro-batches
+        rows.filter(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = daily.event_file_stream(spark, f"{base}/in", "*.parquet", files_per_batch=1)
+    q = ledger.start(evops.parse_messages(fx.event_messages(stream)), f"{base}/out", f"{base}/_ckpt")
+    q.awaitTermination()
+    return daily.read_counts(spark, f"{base}/out/counts").select("date", "kind", "key", "n")
+
+
 # --- model: M1-M6, A9 --------------------------------------------------------------
 
 PARAMS = recommend.AlsParams(min_reviews=TEST_MIN_REVIEWS)
@@ -530,6 +554,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_page_info": profile_page_info,
     "search_games": search_games,
     "search_games_wildcard": search_games_wildcard,
+    "search_many_texts": search_many_texts,
+    "search_many_wildcards": search_many_wildcards,
     "game_display": game_display,
     "game_detail_display": game_detail_display,
     "profile_ratings": profile_ratings,
@@ -560,6 +586,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_report": daily_report,
     "stream_daily_game_views": stream_daily_game_views,
     "stream_daily_registrations": stream_daily_registrations,
+    "stream_late_corrected": stream_late_corrected,
     "als_recommendations": als_recommendations,
     "als_rmse": als_rmse,
     "als_structure": als_structure,

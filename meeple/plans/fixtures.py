@@ -239,6 +239,25 @@ def candidates(spark: SparkSession, sf_dir: str, k: int = 50) -> DataFrame:
             .select("user_id", "pos", "id"))
 
 
+def search_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search texts from all game names: second words in capitals, runs of four letters
+    from the third on, first two and first letters."""
+    name = F.col("p_name")
+    texts = F.array(F.upper(F.split_part(name, F.lit(" "), F.lit(2))), F.substring(name, 3, 4),
+                    F.substring(name, 1, 2), F.substring(name, 1, 1), F.lit(""))
+    return table(spark, sf_dir, "part").select(F.explode(texts).alias("text")).distinct()
+
+
+def search_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with wildcards from all game names: the first word with its third letter open,
+    and its first two letters before the last two of the name."""
+    name = F.col("p_name")
+    word = F.split_part(name, F.lit(" "), F.lit(1))
+    texts = F.array(F.concat(F.substring(word, 1, 2), F.lit("_"), F.expr("substring(split_part(p_name, ' ', 1), 4)")),
+                    F.concat(F.substring(word, 1, 2), F.lit("%"), F.expr("right(p_name, 2)")))
+    return table(spark, sf_dir, "part").select(F.explode(texts).alias("text")).distinct()
+
+
 # --- event fixtures -------------------------------------------------------
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -386,3 +386,15 @@ ORACLE["stream_daily_registrations"] = _with(["fx_messages"], f"""
 SELECT * FROM (
 SELECT strftime(timestamp, '%Y-%m-%d') AS date, count(*) AS n
 FROM fx_messages WHERE kind = 'user_created' GROUP BY 1) d WHERE {_CLOSED}""")
+ORACLE["stream_late_corrected"] = _with(["fx_messages", "fx_daily_counts"], f"""
+SELECT date, kind, key, n FROM fx_daily_counts WHERE {_CLOSED}""")
+
+# search texts as meeple.plans.fixtures makes them
+ORACLE["search_many_texts"] = """
+WITH t AS (SELECT DISTINCT unnest([upper(split_part(p_name, ' ', 2)), substring(p_name, 3, 4),
+                                   substring(p_name, 1, 2), substring(p_name, 1, 1)]) AS text FROM part)
+SELECT text, CAST(p_partkey AS INT) AS id FROM t JOIN part ON contains(lower(p_name), lower(text)) WHERE text <> ''"""
+ORACLE["search_many_wildcards"] = """
+WITH t AS (SELECT DISTINCT unnest([substring(split_part(p_name, ' ', 1), 1, 2) || '_' || substring(split_part(p_name, ' ', 1), 4),
+                                   substring(p_name, 1, 2) || '%' || right(p_name, 2)]) AS text FROM part)
+SELECT text, CAST(p_partkey AS INT) AS id FROM t JOIN part ON p_name ILIKE '%' || text || '%'"""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meeple.llm.common import SPACE, let_go, picked, pin, slices, table, with_group_stats
+from meeple.llm.common import SPACE, let_go, picked, pin, slices, stored, table, with_group_stats
 
 BLOCK_BYTES = 4096
 GATHER_BYTES = 12 << 20  # of blocks compared inside a task before they are sent
@@ -37,24 +37,36 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _distinct_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(refs..., block) rows -> one row per block seen here with the list of its refs."""
-    for t in _gathered(batches):
-        if not t.num_rows:
-            continue
-        coded = t["block"].combine_chunks().cast(pa.large_binary()).dictionary_encode()
-        codes = coded.indices.to_numpy()
-        order = np.argsort(codes, kind="stable")
-        ends = np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))
-        refs = t.drop_columns(["block"]).take(pa.array(order)).combine_chunks()
-        parts = [refs[c].combine_chunks() if refs.num_rows else refs[c] for c in refs.column_names]
-        parts = [p.combine_chunks() if isinstance(p, pa.ChunkedArray) else p for p in parts]
-        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(parts, refs.column_names))
-        out = pa.table({"block": coded.dictionary.cast(pa.binary()), "refs": lists})
-        yield from out.to_batches(max_chunksize=2048)
-        del coded, refs, parts, lists, out, t
-        pa.default_memory_pool().release_unused()  # the worker lives on in other stages
+def _coded(refs: pa.StructType):
+    """(refs..., block) rows -> each distinct block of a gather once, as (gather, code,
+    block), and each row's other columns as (gather, code, refs)."""
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gather = TaskContext.get().partitionId() << 32
+        for t in _gathered(batches):
+            if not t.num_rows:
+                continue
+            found = t["block"].combine_chunks().cast(pa.large_binary()).dictionary_encode()
+            names, n = found.dictionary.cast(pa.binary()), len(found.dictionary)
+            for i in range(0, n, 2048):
+                part = names[i:i + 2048]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), gather)), pa.array(np.arange(i, i + len(part), dtype=np.int64)), part,
+                     pa.nulls(len(part), refs)], names=CODED)
+            held = [c.combine_chunks() for c in t.drop_columns(["block"]).columns]
+            holders = pa.StructArray.from_arrays(held, fields=list(refs))
+            codes = found.indices.cast(pa.int64())
+            for i in range(0, t.num_rows, 20_000):
+                part = codes[i:i + 20_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), gather)), part, pa.nulls(len(part), pa.binary()), holders[i:i + 20_000]],
+                    names=CODED)
+            gather += 1
+            del found, names, held, holders, codes, t
+            pa.default_memory_pool().release_unused()  # the worker lives on in other stages
+    return coded
+
+
+CODED = ["gather", "code", "block", "refs"]
 
 
 def _name_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,25 +83,29 @@ def _name_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[0] = last is None or block[0].as_py() != last
         names = name + np.cumsum(new)
         name, last = int(names[-1]), block[b.num_rows - 1].as_py()
-        yield pa.RecordBatch.from_arrays([pa.array(names), b.column("refs")], ["name", "refs"])
+        yield pa.RecordBatch.from_arrays([b.column("gather"), b.column("code"), pa.array(names)], ["gather", "code", "name"])
 
 
 def integer_names(df: DataFrame) -> DataFrame:
     """Replace the binary column ``block`` by a bigint ``name``, equal for equal blocks.
 
-    The blocks are shuffled once: a task sends each block it saw once, with the
-    list of the rows that hold it (the list is bounded by what the task read), so
-    a block in a third of all rows arrives once per task. Blocks of one shuffle
-    partition are sorted and numbered.
+    A task numbers the distinct blocks of each gather (GATHER_BYTES) and writes them
+    apart from the rows that hold them. Blocks alone are shuffled, sorted and named:
+    a block in a third of all rows arrives once per gather, without its holders. The
+    names go back by (gather, code), so rows that hold one block stay spread over as
+    many keys as there are gathers.
     """
+    from pyspark.sql.pandas.types import to_arrow_type
     refs = T.StructType([f for f in df.schema.fields if f.name != "block"])
-    listed = T.ArrayType(refs)
-    sent = df.mapInArrow(_distinct_blocks, T.StructType(
-        [T.StructField("block", T.BinaryType()), T.StructField("refs", listed)]))
-    named = (sent.repartition("block").sortWithinPartitions("block")
-             .mapInArrow(_name_sorted, T.StructType(
-                 [T.StructField("name", T.LongType()), T.StructField("refs", listed)])))
-    return named.select("name", F.explode("refs").alias("r")).select("r.*", "name")
+    coded = stored(df.mapInArrow(_coded(to_arrow_type(refs)), T.StructType(
+        [T.StructField("gather", T.LongType()), T.StructField("code", T.LongType()),
+         T.StructField("block", T.BinaryType()), T.StructField("refs", refs)])), "block-names")
+    named = (coded.filter("block IS NOT NULL").select("gather", "code", "block").repartition("block")
+             .sortWithinPartitions("block").mapInArrow(_name_sorted, "gather bigint, code bigint, name bigint"))
+    # a merge join deals both sides by (gather, code); a broadcast of the holders would let
+    # those of a frequent block come out of the one task that named it
+    return (coded.filter("refs IS NOT NULL").select("gather", "code", "refs")
+            .join(named.hint("merge"), ["gather", "code"]).select("refs.*", "name"))
 
 
 BLOCK_ROWS = T.StructType([

@@ -110,6 +110,8 @@ def tilts(hist: DataFrame, targets: DataFrame, scale: float, most: float = MOST)
                 (F.col("done") | F.col("f").isNull() | met).alias("done")))
         if not state.filter("not done").limit(1).count():
             break
+    else:
+        raise ArithmeticError(f"rates of some sources have not met their targets in {STEPS} steps")
     return state.select(*KEY, "source_size", "target", "lam")
 
 

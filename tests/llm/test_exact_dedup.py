@@ -36,3 +36,21 @@ def test_blocks_that_share_all_but_one(spark):
 
 def test_empty(spark):
     assert exact_dedup.exact_groups(empty(spark)).collect() == []
+
+
+def test_a_third_of_equal_rows_is_dealt_out(spark):
+    """The holders of one text never meet in a task: their names come back to many."""
+    from pyspark.sql import functions as F
+    rows = spark.range(0, 9000, 1, 30).selectExpr(
+        "id AS row", "cast(if(id % 3 = 0, 'the same text', concat('text ', id)) AS binary) AS block")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        named = exact_dedup.integer_names(rows)
+        by_task = sorted(r["count"] for r in named.groupBy(F.spark_partition_id()).count().collect())
+        names = named.groupBy("name").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(r["count"] for r in names) == [1] * 6000 + [3000]
+    assert by_task[-1] < 4 * by_task[len(by_task) // 2]

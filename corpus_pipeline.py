@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.llm import exact_dedup, mixing, near_dedup, piece_fst, toxicity
-from meeple.llm.common import SPACE, fresh, pin, table
+from meeple.llm.common import SPACE, fresh, pin, stored, table
 from meeple.session import scratch_path
 
 BROADCAST_ROWS = 100_000  # ids with a digest (10 MB) up to which a join is broadcast
@@ -52,11 +52,13 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, and all that have none."""
-    other = fresh("_id", docs)
-    gone = pin(near_dedup.near_groups(docs).filter("NOT kept")
-               .select(F.col("doc_id").alias(other)).distinct())
-    return docs.join(_few(gone), F.col("doc_id") == F.col(other), "left_anti").select(*_all(docs))
+    """One document of each group of near copies, and all that have none; rows without a
+    doc_id too. The operator's own contract fixes the shingles: four words."""
+    row, other = fresh("_row", docs), fresh("_gone", docs)
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-near-rows")
+    groups = near_dedup.row_groups(rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    gone = pin(groups.filter("NOT kept").select(F.col("row").alias(other)))
+    return rows.join(_few(gone), F.col(row) == F.col(other), "left_anti").select(*_all(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Operator 7: near duplicates by MinHash, odd sketches and exact confirmation.
 
 1. Each text becomes its set of distinct word shingles. Texts with the same word
-   sequence form one class; only its representative (smallest doc_id) goes on.
+   sequence form one class; only its representative (smallest row number) goes on.
 2. MinHash samples are cut into bands; representatives that agree in a band are
    candidates. Bands only say where to look: within a bucket every member is
    compared with one hub, then members that are still outside the bucket's largest
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import let_go, picked, pin, slices, stored, table, with_group_stats, words
+from meeple.llm.common import let_go, picked, pin, slices, small_batches, stored, table, with_group_stats, words
 
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000 times
@@ -33,6 +33,7 @@ SAMPLES = BANDS * ROWS
 SKETCH = 512  # bits of the odd sketch of the samples
 BODY = 1024  # bits of the odd sketch of the whole set
 LARGE = 4096  # members of a part of a bucket: larger buckets are searched in several tasks
+PARTNERS = 512  # pairs of one hub that are confirmed together
 BROADCAST_IDS = 1_000_000  # ids (8 MB) up to which the texts are filtered by a broadcast
 SLACK = 5.0  # standard deviations that the sketch filter leaves below the bound
 
@@ -142,22 +143,25 @@ def _signed(width: int, bands: int, rows: int, bits: int):
 
 
 def _confirmed(width: int, percent: int):
+    """Rows (a, part, b, text), sorted: the hub's text (null b) before those of its
+    partners -> the pairs that are similar enough. One set is held, the hub's."""
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-
-        def of(doc, text):
-            if doc not in held:
-                if len(held) >= 64:
-                    held.clear()
-                held[doc] = shingle_set(_lowered(text), width)
-            return held[doc]
+        let_go()
+        hub, mine = None, np.zeros(0, np.uint64)
         for b in slices(batches):
-            ok = []
-            for x, y, tx, ty in zip(*(b.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
-                p, q = of(x, tx), of(y, ty)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            out: tuple[list, list] = ([], [])
+            for x, part, y, text in zip(*(b.column(c).to_pylist() for c in ("a", "part", "b", "text")), strict=True):
+                found = shingle_set(_lowered(text), width)
+                if y is None:
+                    hub, mine = (x, part), found
+                    continue
+                if hub != (x, part):
+                    raise RuntimeError(f"the text of document row {x} is missing")
+                both = len(np.intersect1d(mine, found, assume_unique=True))
+                if 100 * both >= percent * (len(mine) + len(found) - both):
+                    out[0].append(x)
+                    out[1].append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], names=["a", "b"])
     return confirmed
 
 
@@ -199,40 +203,46 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b) whose full sets are similar enough. A partner's text goes to the
+    task of its pair; the hub's text goes there once for PARTNERS of its pairs."""
     ids = pin(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    wanted = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-    texts = stored(wanted.groupBy("id").agg(F.min("text").alias("text")), "near-dedup-texts")
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(
-        _confirmed(width, percent), "a bigint, b bigint")
-
+    texts = stored(texts.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "near-dedup-texts")
+    dealt = with_group_stats(pairs, ["a"], "b", {"m": (F.count(F.lit(1)), F.sum)})
+    parts = F.ceil(F.col("m") / F.lit(PARTNERS))
+    dealt = pin(dealt.select("a", F.pmod(F.xxhash64("b"), parts).alias("part"), "b"))
+    hubs = (dealt.select("a", "part").distinct().join(texts.withColumnRenamed("id", "a"), "a")
+            .select("a", "part", F.lit(None).cast("bigint").alias("b"), "text"))
+    partners = dealt.join(texts.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "text")
+    return (hubs.union(partners).repartition("a", "part")
+            .sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+            .mapInArrow(_confirmed(width, percent), "a bigint, b bigint"))
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text) written once: row numbers stay the same for all later reads."""
+    docs = picked(docs, "doc_id", "text")
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"),
+                              F.col("doc_id").cast("long").alias("doc_id"), "text"), "near-dedup-rows")
 
-def near_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per row of docs(doc_id, text): doc_id, n_shingles, component_id, kept.
 
-    Null texts and texts without words have the empty set and are linked with
-    nothing. doc_id is the key: rows that repeat it are one document (where their
-    texts differ, the smallest is compared) and are all kept or none. Null doc_ids take part and come out as components of null id
-    when alone. An empty table gives no row.
-    """
-    docs = picked(docs, "doc_id", "text")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"),
-                       F.col("doc_id").cast("long").alias("doc_id"), "text")
+def row_groups(rows: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(row, doc_id, n_shingles, component_id, kept) of ``numbered`` rows; see near_groups."""
+    small_batches(rows.sparkSession)
     signed = stored(rows.mapInArrow(_signed(width, BANDS, ROWS, SKETCH), SIGNED), "near-dedup-signed")
 
-    # classes of one word sequence; a representative stands for its class
+    # classes of one word sequence; the row with the smallest number stands for its class
     classes = pin(with_group_stats(signed.filter("n_shingles > 0").select("row", "doc_id", "sequence"),
-                                   ["sequence"], "row", {"rep": (F.min("doc_id"), F.min)}))
-    reps = (signed.join(classes.filter("doc_id = rep").select("row"), "row", "left_semi")
-            .select(F.col("doc_id").alias("id"), "n_shingles", "keys", "sketch", "body")
-            .dropDuplicates(["id"]))
-    reps = stored(reps, "near-dedup-reps")
+                                   ["sequence"], "row", {"rep": (F.min("row"), F.min)}))
+    reps = stored(signed.join(classes.filter("row = rep").select("row"), "row", "left_semi")
+                  .select(F.col("row").alias("id"), "n_shingles", "keys", "sketch", "body"), "near-dedup-reps")
     light = reps.select("id", "n_shingles", "sketch", "body")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = rows.select(F.col("row").alias("id"), "text")
     most_bits = most_unlike_bits(percent, SAMPLES, SKETCH)
+    # rows that repeat a doc_id are one document: their classes are linked
+    ids = (classes.filter("doc_id IS NOT NULL").groupBy("doc_id")
+           .agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a != last"))
+    one = (classes.join(ids, "doc_id").filter("rep != a").select("a", F.col("rep").alias("b")).distinct())
 
     # candidates 1: every member of a bucket with the bucket's smallest id
     bands = reps.select("id", F.explode("keys").alias("key"))
@@ -246,7 +256,7 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -
         return (pairs.join(x, "a").join(y, "b").filter(_close("x", "y", percent, most_bits))
                 .select("a", "b"))
 
-    links = pin(_confirm(pin(near(stars)), texts, width, percent))
+    links = pin(_confirm(pin(near(stars)), texts, width, percent).union(one))
     found = components(links)
 
     # candidates 2: members of one bucket that are in different components still
@@ -278,12 +288,31 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -
         if more.limit(1).count():
             found = components(links.union(more))
 
-    # back to all rows
-    whole = (classes.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
-             .select("row", F.coalesce("component", "rep").alias("component")))
-    return (signed.select("row", "doc_id", "n_shingles").join(whole, "row", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    # back to all rows: a component is named by its smallest doc_id, null ids last
+    whole = classes.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
+        "row", "doc_id", F.coalesce("component", "rep").alias("component"))
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    named = with_group_stats(whole, ["component"], "row", {"first": (F.min(rank), F.min)}).select("row", "first")
+    alone = F.col("first").isNull()
+    stays = F.when(F.col("doc_id").isNotNull(), F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).otherwise(
+        F.col("row") == F.col("first.row"))
+    return signed.select("row", "doc_id", "n_shingles").join(named, "row", "left").select(
+        "row", "doc_id", "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        (alone | stays).alias("kept"))
+
+
+def near_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per row of docs(doc_id, text): doc_id, n_shingles, component_id, kept.
+
+    Null texts and texts without words have the empty set and are linked with
+    nothing. doc_id is the key: rows with text that repeat it are one document, linked
+    with whatever any of their texts is linked with, and all kept or none. Rows with a
+    null doc_id are documents of their own; they are compared like all others, come
+    after all ids, and of a component without any id one row is kept. Whole texts of
+    any length are compared. An empty table gives no row.
+    """
+    return row_groups(numbered(docs), width, percent).drop("row")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,29 +8,39 @@ from meeple.llm import near_dedup as nd
 
 
 def brute(rows, width=4, percent=80):
-    sets = {}
-    for d, t, *_ in rows:
-        if d is not None:
-            w = [x.lower() for x in (t or "").encode().split()]
-            sets[d] = {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
-    parent = {d: d for d in sets}
+    """(shingles, component id, kept) of each row; kept is a count for rows without any
+    id in their component, of which one stays."""
+    sets = []
+    for _, t, *_ in rows:
+        w = [x.lower() for x in (t or "").encode().split()]
+        sets.append({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set()))
+    parent = list(range(len(rows)))
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
-    holders = defaultdict(list)
-    for d in sorted(sets):
+
+    def link(x, y):
+        a, b = sorted((find(x), find(y)))
+        parent[b] = a
+    holders, by_id = defaultdict(list), {}
+    for i, (d, *_) in enumerate(rows):
         common = defaultdict(int)
-        for s in sets[d]:
+        for s in sets[i]:
             for e in holders[s]:
                 common[e] += 1
-            holders[s].append(d)
+            holders[s].append(i)
         for e, n in common.items():
-            if 100 * n >= percent * (len(sets[d]) + len(sets[e]) - n):
-                a, b = sorted((find(d), find(e)))
-                parent[b] = a
-    return {d: (len(sets[d]), find(d)) for d in sets}
+            if 100 * n >= percent * (len(sets[i]) + len(sets[e]) - n):
+                link(i, e)
+        if d is not None and sets[i]:
+            link(i, by_id.setdefault(d, i))
+    least = defaultdict(list)
+    for i, (d, *_) in enumerate(rows):
+        least[find(i)].append(d)
+    name = {k: min((d for d in ds if d is not None), default=None) for k, ds in least.items()}
+    return [(len(sets[i]), d if not sets[i] else name[find(i)]) for i, (d, *_) in enumerate(rows)]
 
 
 def near_copies(seed=2, groups=12, size=9):
@@ -48,19 +58,33 @@ def near_copies(seed=2, groups=12, size=9):
     return rows
 
 
+def no_ids():
+    """Equal and near copies of which some or all have no id."""
+    r = random.Random(8)
+    w, v = sentence(r, 80), sentence(r, 90)
+    near = w.split()
+    near[40] = "changed"
+    texts = [(None, w), (None, w), (None, " ".join(near)), (None, v), (7000, v), (None, v), (None, None), (None, ""),
+             (7001, w + " x y z"), (7002, "one two three four five"), (7002, sentence(r, 30))]
+    return [(d, t, "en", "a", 0, 1, 1.0, 1) for d, t in texts]
+
+
 def test_matches_brute_force(spark, monkeypatch):
-    rows = documents() + near_copies()
-    want = brute(rows)
-    for large in (256, 2):  # with and without splitting of large buckets
+    rows = documents() + near_copies() + no_ids()
+    want = sorted(((d, *w) for (d, *_), w in zip(rows, brute(rows), strict=True)), key=str)
+    for large, partners in ((256, 512), (2, 2)):  # with and without splitting of large buckets and hubs
         monkeypatch.setattr(nd, "LARGE", large)
+        monkeypatch.setattr(nd, "PARTNERS", partners)
         out = nd.near_groups(frame(spark, rows)).collect()
-        assert len(out) == len(rows)
-        for r in out:
-            if r.doc_id is None:
-                assert r.component_id is None
-            else:
-                assert (r.n_shingles, r.component_id) == want[r.doc_id]
-                assert r.kept == (r.doc_id == r.component_id)
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == want
+        assert all(r.kept == (r.doc_id == r.component_id) for r in out if r.doc_id is not None)
+
+
+def test_rows_without_ids_are_compared(spark):
+    rows = [r for r in no_ids() if r[0] is None and r[1]]
+    out = nd.near_groups(frame(spark, rows)).collect()
+    assert sorted((r.n_shingles, r.component_id, r.kept) for r in out) == [
+        (77, None, False), (77, None, False), (77, None, True), (87, None, False), (87, None, True)]
 
 
 def test_parts_of_large_buckets_change_nothing(spark, monkeypatch):

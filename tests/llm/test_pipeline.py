@@ -45,7 +45,7 @@ def test_stages(spark, tmp_path):
 
     groups = brute([(r.doc_id, r.text) for r in kept])
     now = step(2)
-    assert {r.doc_id for r in now.collect()} == {d for d, (_, c) in groups.items() if d == c} | {None}
+    assert {r.doc_id for r in now.collect()} == {r.doc_id for r, (_, c) in zip(kept, groups, strict=True) if r.doc_id == c}
 
     copies = {r.doc_id: r.copies for r in mixing.mix(now).collect()}
     now = step(3)
@@ -66,6 +66,16 @@ def test_stages(spark, tmp_path):
     assert sorted(str(r.doc_id) for r in cp.run(spark, sf).collect()) == sorted(str(r.doc_id) for r in out)
 
 
+def test_near_copies_without_ids_go(spark):
+    from test_near_dedup import no_ids
+    rows = frame(spark, no_ids()).select(*COLUMNS).withColumnRenamed("n_chars", "_row")
+    kept = cp.drop_near_copies(spark, rows, "").collect()
+    assert rows.columns == list(kept[0].asDict())
+    # of three copies without ids one stays, of three with one id that one; texts without words stay
+    assert sorted((str(r.doc_id), len(r.text or "") > 0) for r in kept) == [
+        ("7000", True), ("7001", True), ("7002", True), ("7002", True), ("None", False), ("None", False)]
+
+
 def test_empty_table(spark, tmp_path):
     sf = str(tmp_path)
     frame(spark, []).select(*COLUMNS).write.parquet(f"{sf}/documents.parquet")

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from meeple.llm.common import crc_of_id, heaviest, let_go, picked, stored, table
 
-CLASSES = 64
+CLASSES = 32
 FREQUENT, LONGEST = 50_000, 64  # words at most whose counts all tasks get, and their bytes at most
-BLOCK_BYTES = 2 << 20  # texts whose words are made distinct together
+BLOCK_BYTES = 4 << 20  # texts whose words are made distinct together
 HELD = 400_000  # distinct words a task holds before it sends them
 UPDATES = 6
 TOKENS_A_WEIGHT_ROW = 25  # a task sums over so many tokens for each row of weights it sends
@@ -71,29 +71,66 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    import xxhash
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
-
-
-def class_of(word_hash: np.ndarray, words: list[bytes]) -> np.ndarray:
+def hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of an array of binaries: a polynomial over the bytes, mixed."""
+    n = len(words)
+    _, offsets, data = words.buffers()
+    if not n:
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(offsets, np.int32)[words.offset:words.offset + n + 1].astype(np.int64)
+    size = np.diff(offsets)
+    body = np.frombuffer(data or b"", np.uint8)[offsets[0]:offsets[-1]].astype(np.uint64)
+    starts = offsets[:-1] - offsets[0]
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(size.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+        total = size.astype(np.uint64)
+        if len(body):
+            place = np.arange(len(body)) - np.repeat(starts, size)
+            full = size > 0
+            total[full] += np.add.reduceat((body + np.uint64(1)) * powers[place], starts[full])
+    return _mixed(total)
+
+
+def class_of(word_hash: np.ndarray, is_end: np.ndarray) -> np.ndarray:
     """The end is a class of its own, all words share the others."""
     out = 1 + (word_hash >> np.uint64(40)) % np.uint64(CLASSES - 1)
-    return np.where(np.fromiter((w == END for w in words), bool, len(words)), 0, out.astype(np.int64))
+    return np.where(is_end, 0, out.astype(np.int64))
+
+
+IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def _split(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of lower-cased texts as one array of binaries, and their number per
+    text; what ``tokens`` gives without the ends, without an object per word."""
+    data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
+    inside = ~IS_SPACE[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))  # every text ends in white space
+    starts, size = edges[::2], edges[1::2] - edges[::2]
+    offsets = np.zeros(len(size) + 1, np.int32)
+    np.cumsum(size, out=offsets[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(size),
+                                  [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return words, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
 class Block:
-    """The tokens of some texts: ``words`` (distinct), their hashes and classes, ``at``
-    (place of each token's word), ``size`` of each text."""
+    """The tokens of some texts: ``words`` (distinct, the end last), their hashes and
+    classes, ``at`` (place of each token's word), ``size`` of each text."""
 
     def __init__(self, texts: list[bytes]):
-        found = [tokens(t) for t in texts]
-        self.size = np.fromiter(map(len, found), np.int64, len(found))
-        coded = pa.array([w for f in found for w in f], pa.binary()).dictionary_encode()
-        self.words, self.at = coded.dictionary, coded.indices.to_numpy()
-        names = self.words.to_pylist()
-        self.hash = hashes(names)
-        self.cls = class_of(self.hash, names)
+        found, count = _split(texts)
+        coded = found.dictionary_encode()
+        end = len(coded.dictionary)
+        self.words = pa.concat_arrays([coded.dictionary, pa.array([END], pa.binary())])
+        self.size = count + 1
+        last = np.zeros(len(found) + len(texts), bool)
+        last[np.cumsum(self.size) - 1] = True
+        self.at = np.full(len(last), end, np.int64)
+        self.at[~last] = coded.indices.to_numpy()
+        self.hash = hashes(self.words)
+        self.cls = class_of(self.hash, np.arange(end + 1) == end)
 
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the word before each token and of the one before that (0: none)."""
@@ -170,7 +207,7 @@ def log_softmax(weights: np.ndarray, rows: tuple[np.ndarray, ...]) -> np.ndarray
 
 def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """total[rows[i]] += values[i], rows repeating."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows)
     rows = rows[order]
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
     total[rows[first]] += np.add.reduceat(values[order], first, axis=0)

@@ -55,6 +55,38 @@ def rated_ranking(spark, d):
     return catalog.ranking(g, catalog.ordered_by("average", True, True))
 
 
+def _updated_index(spark, d):
+    """An index of the games by average, then the games whose statistics a batch of ratings
+    changed moved to their new places."""
+    from meeple.operators.rank_index import RankIndex
+    games = fx.games(spark, d).select("id", "average")
+    index = RankIndex(spark, scratch_path(spark, "rank-index"), "id int, average double", "average", rows_per_file=97)
+    index.build(games)
+    batch = _accepted_batch(spark, d)
+    merged = ratings.upsert_ratings(fx.reviews(spark, d), batch)
+    new = ratings.refresh_game_stats(fx.games(spark, d), merged, batch).select("id", "average")
+    changed = _pinned(new.join(games.withColumnRenamed("average", "_old"), "id")
+                      .filter(~F.col("average").eqNullSafe(F.col("_old"))))
+    index.update(changed.select("id", F.col("_old").alias("average")), changed.select("id", "average"))
+    return index
+
+
+def ranking_after_merge(spark, d):
+    """The whole ranking out of the index after an update of its files."""
+    return _updated_index(spark, d).ranking()
+
+
+def deep_pages_after_merge(spark, d):
+    """First, middle and last pages out of the index, each from the files that hold it."""
+    index = _updated_index(spark, d)
+    last = -(-index.total() // catalog.GAMES_PER_PAGE)
+    out = None
+    for n in sorted({1, 2, last // 2, last - 1, last}):
+        page = index.page(n).withColumn("page", F.lit(n))
+        out = page if out is None else out.unionByName(page)
+    return out.select("page", "pos", "id", "average")
+
+
 def page_info(spark, d):
     return catalog.page_info(fx.games(spark, d), INFO_PAGE)
 
@@ -550,6 +582,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_rated_page": top_rated_page,
     "most_popular_page": most_popular_page,
     "rated_ranking": rated_ranking,
+    "ranking_after_merge": ranking_after_merge,
+    "deep_pages_after_merge": deep_pages_after_merge,
     "page_info": page_info,
     "profile_page_info": profile_page_info,
     "search_games": search_games,

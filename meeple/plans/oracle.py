@@ -398,3 +398,15 @@ ORACLE["search_many_wildcards"] = """
 WITH t AS (SELECT DISTINCT unnest([substring(split_part(p_name, ' ', 1), 1, 2) || '_' || substring(split_part(p_name, ' ', 1), 4),
                                    substring(p_name, 1, 2) || '%' || right(p_name, 2)]) AS text FROM part)
 SELECT text, CAST(p_partkey AS INT) AS id FROM t JOIN part ON p_name ILIKE '%' || text || '%'"""
+
+_RANKED_AFTER = """
+SELECT id, average, row_number() OVER (ORDER BY average DESC NULLS FIRST, id) AS pos FROM (
+  SELECT g.id, CASE WHEN t.id IS NULL THEN g.average ELSE a.avg_rating END AS average
+  FROM fx_games g LEFT JOIN (SELECT DISTINCT id FROM fx_accepted_batch) t ON g.id = t.id
+  LEFT JOIN (SELECT id, avg(rating) AS avg_rating FROM fx_upserted GROUP BY id) a ON a.id = t.id) s"""
+ORACLE["ranking_after_merge"] = _with(["fx_games", "fx_upserted", "fx_accepted_batch"], _RANKED_AFTER)
+ORACLE["deep_pages_after_merge"] = _with(["fx_games", "fx_upserted", "fx_accepted_batch"], f"""
+SELECT CAST(page AS INT) AS page, CAST(pos AS INT) AS pos, id, average FROM (
+  SELECT *, (pos + 9) // 10 AS page, (count(*) OVER () + 9) // 10 AS last FROM ({_RANKED_AFTER}) r) p
+WHERE page IN (1, 2, last // 2, last - 1, last)"""
+)

@@ -17,7 +17,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meeple.llm.common import picked, stored, table
@@ -33,7 +33,8 @@ COMMON = {
 #: other ASCII, bytes of other characters
 CLASSES = 7
 GUARD = 40  # words below which the distances decide nothing
-LANGUAGES = 256  # most references kept: those of the languages with the most documents
+LANGUAGES = 256  # references that documents are held against at once
+SHARES = 10_000  # steps of a share in which its median is found
 CHAR_BOUND = (0.07, 1.2)  # distance allowed: a + b / sqrt(words)
 WORD_BOUND = (0.09, 2.7)
 
@@ -109,6 +110,44 @@ def _nearest(counts: np.ndarray, refs: list[np.ndarray]) -> np.ndarray:
     return np.min([js_distance(counts, q) for q in refs], axis=0)
 
 
+def medians(fair: DataFrame) -> DataFrame:
+    """(lang, at, share): per language the median share of each character class over
+    its documents, exact in steps of 1 / SHARES: from counts of the steps, which don't
+    depend on how rows are laid out."""
+    total = F.aggregate("chars", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    steps = F.transform("chars", lambda c: F.floor(c * SHARES / total).cast("int"))
+    counts = (fair.select("lang", F.posexplode(steps).alias("at", "step"))
+              .groupBy("lang", "at", "step").agg(F.count(F.lit(1)).alias("n")))
+    upto = Window.partitionBy("lang", "at").orderBy("step")
+    whole = Window.partitionBy("lang", "at")
+    middle = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(whole))
+    return (middle.filter(2 * F.col("upto") >= F.col("all")).groupBy("lang", "at")
+            .agg((F.min("step") / SHARES).alias("share")))
+
+
+def _distance(df: DataFrame, refs: DataFrame, column: str, out: str) -> DataFrame:
+    """``df`` plus the distance of ``column`` to the nearest of refs(lang, at, value), 0
+    without any. References go through in blocks of LANGUAGES, as many as there are."""
+    by_lang = refs.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("values"))
+    held: list[np.ndarray] = []
+    parts = []
+    for r in by_lang.orderBy("lang").toLocalIterator():
+        q = np.array([v.value for v in r["values"]], float)
+        if q.sum():
+            held.append(q / q.sum())
+        if len(held) == LANGUAGES:
+            parts.append(held)
+            held = []
+    if held or not parts:
+        parts.append(held)
+    names = [f"_{out}{i}" for i in range(len(parts))]
+    for name, part in zip(names, parts, strict=True):
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        df = df.mapInPandas(_distances(part, column, name), f"{kinds}, {name} double")
+    nearest = F.col(names[0]) if len(names) == 1 else F.least(*names)
+    return df.withColumn(out, nearest).drop(*names)
+
+
 def _bound(bound: tuple[float, float], n: np.ndarray) -> np.ndarray:
     return bound[0] + bound[1] / np.sqrt(np.maximum(n, 1))
 
@@ -141,27 +180,16 @@ def quality(docs: DataFrame, guard: int = GUARD) -> DataFrame:
 
     # characters: the median share of each class over a language's documents, which
     # junk among them doesn't move
-    total = F.aggregate("chars", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    medians = (fair.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(F.col("chars")[i] / total, 0.5, 1000).alias(f"c{i}") for i in range(CLASSES)])
-        .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
-    char_refs = [q / q.sum() for q in (np.array([r[f"c{i}"] for i in range(CLASSES)], float) for r in medians)]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counts.schema)
-    scored = counts.mapInPandas(_distances(char_refs, "chars", "char_distance"),
-                                f"{kinds}, char_distance double")
+    char_refs = medians(fair).withColumnRenamed("share", "value")
+    scored = _distance(counts, char_refs, "chars", "char_distance")
 
     # common words: all words of a language's documents whose characters are in bounds
     root = F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     in_bounds = F.col("char_distance") <= CHAR_BOUND[0] + CHAR_BOUND[1] / root
-    sums = (scored.filter(~F.col("base_failed") & (F.col("n_words") >= guard) & in_bounds)
-            .filter(F.col("lang").isin([r.lang for r in medians]))
-            .groupBy("lang").agg(*[F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(WORD_BINS)])
-            .collect() if medians else [])
-    word_refs = [q / q.sum() for q in (np.array([r[f"w{i}"] for i in range(WORD_BINS)], float)
-                                       for r in sorted(sums, key=lambda r: r.lang)) if q.sum()]
-    out = scored.mapInPandas(_distances(word_refs, "common", "word_distance"),
-                             f"{kinds}, char_distance double, word_distance double")
+    word_refs = (scored.filter(~F.col("base_failed") & (F.col("n_words") >= guard) & in_bounds & F.col("lang").isNotNull())
+                 .groupBy("lang").agg(*[F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(WORD_BINS)])
+                 .select("lang", F.posexplode(F.array(*[f"w{i}" for i in range(WORD_BINS)])).alias("at", "value")))
+    out = _distance(scored, word_refs, "common", "word_distance")
     fits = in_bounds & (F.col("word_distance") <= WORD_BOUND[0] + WORD_BOUND[1] / root)
     long_enough = F.col("n_words") >= guard
     return out.select(

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 from llm_data import documents, empty, frame
+from llm_data import sentence as llm_sentence
 
 from meeple.llm import quality_rules as q
 
@@ -46,6 +47,24 @@ def test_verdict(spark):
     assert not any(out[1000 + i].kept or out[1000 + i].base_failed for i in range(20))
 
 
+def test_distances_do_not_depend_on_the_layout(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(i, llm_sentence(r, r.randint(40, 90)) + "." * r.randint(0, 9), r.choice(["en", "de", "xx", "yy", None]), "s", 0, 1, 1.0, 1)
+            for i in range(150)]
+    got = []
+    for parts, block in ((1, 256), (7, 256), (3, 2)):  # the last one holds the languages two at a time
+        monkeypatch.setattr(q, "LANGUAGES", block)
+        out = q.quality(frame(spark, rows).repartition(parts)).collect()
+        got.append(sorted((x.doc_id, x.kept, x.char_distance, x.word_distance) for x in out))
+    assert got[0] == got[1] == got[2]
+
+
+def test_medians(spark):
+    df = spark.createDataFrame([("a", [1, 3]), ("a", [1, 1]), ("a", [3, 1]), ("b", [0, 5])], "lang string, chars array<bigint>")
+    got = {(x.lang, x["at"]): x.share for x in q.medians(df).collect()}
+    assert got == {("a", 0): 0.5, ("a", 1): 0.5, ("b", 0): 0.0, ("b", 1): 1.0}
+
+
 def test_distance():
     p = np.array([[1.0, 0, 0], [1, 1, 2]])
     assert np.allclose(q.js_distance(p, np.array([0, 0.5, 0.5]))[0], 1.0)

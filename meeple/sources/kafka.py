@@ -1,7 +1,9 @@
 """Event topic source and sink.
 
 The Kafka connector is a separate package on the cluster's classpath; it is
-not needed for anything else here. Message shaping (key text, JSON value) is
+not needed for anything else here. Without it and a broker, neither ``read_events`` nor
+``write_events`` has ever run: only their message shaping and the stream code behind
+them are tested, on a file source. Message shaping (key text, JSON value) is
 done by ``meeple.operators.events`` so batch and stream share it.
 """
 

@@ -60,7 +60,7 @@ def _updated_index(spark, d):
     changed moved to their new places."""
     from meeple.operators.rank_index import RankIndex
     games = fx.games(spark, d).select("id", "average")
-    index = RankIndex(spark, scratch_path(spark, "rank-index"), "id int, average double", "average", rows_per_file=97)
+    index = RankIndex(spark, scratch_path(spark, "rank-index"), "id int, average double", "average", rows_per_file=499)
     index.build(games)
     batch = _accepted_batch(spark, d)
     merged = ratings.upsert_ratings(fx.reviews(spark, d), batch)
@@ -217,7 +217,7 @@ def dump_positions(spark, d):
     path = scratch_path(spark, "reviews-one-file")
     dump = fx.reviews_dump(spark, d)
     dump.coalesce(1).write.option("header", "true").option("escape", '"').option("emptyValue", "").csv(path)
-    limits = {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "4096"}
+    limits = {"spark.sql.files.maxPartitionBytes": "262144", "spark.sql.files.openCostInBytes": "4096"}
     before = {k: spark.conf.get(k) for k in limits}
     try:
         for k, v in limits.items():

@@ -8,7 +8,7 @@ ledger entries. A batch with rows of a published day publishes that day again, s
 closed days are corrected, not left wrong, however late the rows are.
 
     base/ledger/date=<day>/batch=<id>/   (kind, key, n, late)
-    base/marks/batch=<id>/               the latest record time up to that batch
+    base/marks/batch=<id>/               the latest record time up to that batch, in microseconds
     base/counts, base/reports            what is published (as ``daily.write_daily`` writes)
 
 Micro-batches leave one file a day they touch; minutes, not seconds, between triggers
@@ -28,7 +28,7 @@ from meeple.streaming import daily
 
 DELAY = "1 day"  # how long after its end a day is closed
 ENTRIES = "kind string, key string, n long, late boolean, date string, batch long"
-MARKS = "latest timestamp, batch long"
+MARKS = "latest long, batch long"
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -54,11 +54,11 @@ def _replace(df: DataFrame, path: str, *parts: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
-def _closed(spark: SparkSession, latest, delay: str) -> str | None:
+def _closed(spark: SparkSession, latest: int | None, delay: str) -> str | None:
     """The last day that is closed when the stream has come to ``latest``."""
     if latest is None:
         return None
-    moment = F.to_timestamp(F.lit(latest.isoformat())) - F.expr(f"INTERVAL {delay}")
+    moment = F.timestamp_micros(F.lit(latest).cast("long")) - F.expr(f"INTERVAL {delay}")
     return spark.range(1).select(ev.day_text(moment - F.expr("INTERVAL 1 DAY"))).first()[0]
 
 
@@ -74,7 +74,7 @@ def apply_batch(rows: DataFrame, batch_id: int, base: str, delay: str = DELAY) -
     was_closed = _closed(spark, before, delay)
     day = ev.day_text("timestamp")
     counts = rows.groupBy(day.alias("date"), "kind", "key").agg(
-        F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("latest")).persist()
+        F.count(F.lit(1)).alias("n"), F.max(F.unix_micros("timestamp")).alias("latest")).persist()
     try:
         latest = counts.agg(F.max("latest")).first()[0]
         if latest is None:

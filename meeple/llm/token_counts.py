@@ -23,6 +23,7 @@ LIMIT = 2048
 FREQUENT = 50_000  # pre-tokens in the table that all tasks get
 FROM_A_TASK = 20_000  # of them that one task may propose
 HELD = 300_000  # distinct pre-tokens a worker holds at once
+LONGEST = 64  # bytes of a pre-token that any table or cache holds: longer ones are encoded as they come
 
 
 def load(path: str):
@@ -50,7 +51,7 @@ def _propose(path: str, from_a_task: int, held: int):
                 seen.update(data.split())
             if len(seen) > 2 * held:  # keep the heavier half; costs speed only
                 seen = Counter(dict(seen.most_common(held)))
-        top = [(w, n) for w, n in seen.most_common(from_a_task) if n > 1]
+        top = [(w, n) for w, n in seen.most_common(from_a_task) if n > 1 and len(w) <= LONGEST]
         yield pa.RecordBatch.from_arrays(
             [pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())],
             names=["run", "n"])
@@ -63,7 +64,7 @@ def lengths(path: str, runs: list[bytes]) -> list[int]:
 
 
 def frequent_lengths(texts: DataFrame, path: str, size: int = FREQUENT) -> dict[bytes, int]:
-    """The table of tier one: at most ``size`` runs and their token counts."""
+    """The table of tier one: at most ``size`` runs of LONGEST bytes, and their token counts."""
     top = (texts.mapInArrow(_propose(path, FROM_A_TASK, HELD), "run binary, n bigint")
            .groupBy("run").agg(F.sum("n").alias("n")))
     runs = sorted(bytes(r.run) for r in heaviest(pin(top), "n", size).select("run").collect())
@@ -82,12 +83,15 @@ def _count(path: str, table_of, limit: int, held: int):
                 if None in got:
                     left = [r for r, n in zip(runs, got, strict=True) if n is None]
                     new = [r for r in dict.fromkeys(left) if r not in cache]
+                    fresh: dict[bytes, int] = {}
                     if new:
                         if len(cache) + len(new) > held:
                             cache.clear()
                             new = list(dict.fromkeys(left))
-                        cache.update(zip(new, lengths(path, new), strict=True))
-                    out.append(sum(n for n in got if n is not None) + sum(map(cache.__getitem__, left)))
+                        fresh = dict(zip(new, lengths(path, new), strict=True))
+                        cache.update((r, n) for r, n in fresh.items() if len(r) <= LONGEST)
+                    out.append(sum(n for n in got if n is not None)
+                               + sum(fresh[r] if r in fresh else cache[r] for r in left))
                 else:
                     out.append(sum(got))
             n_tokens = pa.array(out, pa.int64())

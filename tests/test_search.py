@@ -34,3 +34,17 @@ def test_no_nested_loop(spark):
     games, asked = tables(spark, ["ring"])
     plan = search.search_many(games, asked)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_only_texts_are_broadcast(spark, tmp_dir, monkeypatch):
+    """A small file of names is many postings: neither they nor the games go to all tasks."""
+    path = f"{tmp_dir}/games"
+    spark.range(500).selectExpr("CAST(id AS INT) AS id", "'a name' AS name").coalesce(1).write.parquet(path)
+    games = spark.read.parquet(path)
+    asked = spark.createDataFrame([("name",), ("a n",)], "text string")
+    for few, broadcasts in ((100_000, 1), (0, 0)):
+        monkeypatch.setattr(search, "FEW_TEXTS", few, raising=False)
+        out = search.search_many(games, asked)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("BroadcastExchange") == broadcasts
+        assert out.count() == 1000

@@ -13,17 +13,21 @@ a file that has grown too much is cut. There is no global sort after the first.
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meeple.operators.catalog import GAMES_PER_PAGE, _page_number
 from meeple.operators.dense_ids import global_positions
 
 ROWS_PER_FILE = 100_000
-MANIFEST = "place int, folder string, file int, n long, k0 int, k1 double, k2 long, v long"
+MANIFEST = "place int, folder string, file long, n long, k0 int, k1 double, k2 long, v long"
 KEY = ["_k0", "_k1", "_k2"]
 
 
@@ -83,7 +87,8 @@ class RankIndex:
         """Keyed rows as files by number; the new parts in order."""
         folder = uuid.uuid4().hex  # an attempt that failed is never read
         columns = [c for c in rows.columns if c not in KEY and c != "_f"]
-        numbered = rows.withColumn("file", file.cast("int")).repartition("file")
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))  # few bytes are many files
+        numbered = rows.withColumn("file", file.cast("long")).repartition(tasks, "file")
         numbered.sortWithinPartitions("file", *KEY).select(*columns, "file").write.partitionBy("file").parquet(
             f"{self.path}/data/{folder}")
         try:
@@ -108,13 +113,21 @@ class RankIndex:
         files = placed.withColumn("_f", F.floor(F.col("_place") / F.lit(self.most))).drop("_place")
         return self._commit(self._write(files, F.col("_f")))
 
-    def _part_of(self, parts: list[Part]) -> Column:
-        """The place of the part that a key belongs to: parts whose first key is not above
-        it, less one. As many literals as files."""
-        key = F.struct(*KEY)
-        firsts = F.array(*[F.struct(F.lit(a).cast("int").alias("_k0"), F.lit(float(b)).alias("_k1"),
-                                    F.lit(c).cast("long").alias("_k2")) for a, b, c in (p.first for p in parts[1:])])
-        return F.size(F.filter(firsts, lambda f: f <= key)) if len(parts) > 1 else F.lit(0)
+    def _with_part(self, df: DataFrame, parts: list[Part], name: str, values: list[int] | None = None) -> DataFrame:
+        """Keyed rows with the place of the part that their key belongs to (parts whose first
+        key is not above it, less one), or with the value of that part. A search by halves
+        of the files' first keys."""
+        def rank(key):  # Spark's order: nulls first, NaN last
+            return tuple((0, 0) if x is None else (2, 0) if x != x else (1, x) for x in key)
+        firsts = [rank(p.first) for p in parts[1:]]
+        values = list(range(len(parts))) if values is None else values
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keys = zip(*[b.column(c).to_pylist() for c in KEY], strict=True)
+                found = pa.array([values[bisect_right(firsts, rank(k))] for k in keys], pa.int64())
+                yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, name])
+        return df.mapInArrow(place, T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
 
     def update(self, old: DataFrame, new: DataFrame) -> int:
         """Rows that a merge changed: ``old`` as they stood (none for new ids), ``new`` as they
@@ -123,9 +136,8 @@ class RankIndex:
         parts = self.parts()
         if not parts:
             return self.build(new)
-        at = self._part_of(parts)
-        leaves = self._keyed(old).select("id", at.alias("part"))
-        enters = self._keyed(new).select("*", at.alias("part"))
+        leaves = self._with_part(self._keyed(old), parts, "part").select("id", "part")
+        enters = self._with_part(self._keyed(new), parts, "part")
         touched = sorted({r.part for r in leaves.select("part").union(enters.select("part")).distinct().collect()})
         if not touched:
             return self.version()
@@ -133,7 +145,7 @@ class RankIndex:
         kept = kept.join(leaves.select("id").distinct(), "id", "left_anti").select(*kept.columns)
         now = kept.unionByName(enters.drop("part"))
         # rows go to the part of their key; a part of more than twice its size is cut
-        now = now.withColumn("_p", at)
+        now = self._with_part(now, parts, "_p")
         w = Window.partitionBy("_p").orderBy(*KEY)
         size = F.count(F.lit(1)).over(Window.partitionBy("_p"))
         piece = F.when(size > 2 * self.most, F.floor((F.row_number().over(w) - 1) / F.lit(self.most))).otherwise(F.lit(0))
@@ -167,11 +179,10 @@ class RankIndex:
         parts = self.parts()
         if not parts:
             return self.spark.createDataFrame([], self.schema).withColumn("pos", F.lit(0).cast("long"))
-        keyed = self._keyed(self._read(parts)).withColumn("_p", self._part_of(parts))
         offsets, before = [], 0
         for p in parts:
             offsets.append(before)
             before += p.n
-        start = F.get(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_p"))
-        out = keyed.withColumn("pos", start + F.row_number().over(Window.partitionBy("_p").orderBy(*KEY)))
-        return out.drop(*KEY, "_p")
+        keyed = self._with_part(self._keyed(self._read(parts)), parts, "_start", offsets)
+        out = keyed.withColumn("pos", F.col("_start") + F.row_number().over(Window.partitionBy("_start").orderBy(*KEY)))
+        return out.drop(*KEY, "_start")

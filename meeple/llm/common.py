@@ -3,7 +3,9 @@ group statistics and gapless numbering."""
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -153,16 +155,32 @@ def worker_state(owner: str, key: str, make):
     """
     store = sys.__dict__.setdefault("_meeple_worker_state", {})
     if owner not in store:
-        store.clear()
+        if store:
+            store.clear()
+            give_back()
         store[owner] = {}
     if key not in store[owner]:
         store[owner][key] = make()
     return store[owner][key]
 
 
+def give_back() -> None:
+    """Memory that is free in this worker goes back to the machine: workers outlive
+    their tasks, and the allocators keep what a task used at most."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def let_go() -> None:
     """For tasks that keep nothing: drop what other operators left in this worker."""
-    sys.__dict__.setdefault("_meeple_worker_state", {}).clear()
+    store = sys.__dict__.setdefault("_meeple_worker_state", {})
+    if store:
+        store.clear()
+        give_back()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -43,7 +43,7 @@ SPACE = "▁"
 HELD_BYTES = 32 << 20  # of words and their ids that a worker holds at once, about
 ENTRY_BYTES = 180  # what an entry takes besides its characters and ids
 HELD_PAIRS = 500_000  # arcs of the merge order held at once
-TOGETHER = 1 << 20  # characters whose words are looked up together
+TOGETHER = 1 << 18  # characters whose words are looked up together
 NONE = -2  # no state of a position has a finite distance (so far)
 UNKNOWN = -1  # a character that no piece holds, or the start: an arc from it is never infinite
 LONGEST_HELD = 64  # characters of a word that is held

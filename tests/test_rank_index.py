@@ -69,3 +69,11 @@ def test_empty(spark, tmp_dir):
     assert index.ranking().count() == 0 and index.page(3).count() == 0
     index.update(none, spark.createDataFrame([(1, None)], SCHEMA))
     assert [tuple(r) for r in index.page(1).collect()] == [(1, None, 1)]
+
+
+def test_a_row_does_not_meet_every_file(spark, tmp_dir):
+    rows = [(i, float(i % 50)) for i in range(300)]
+    index = RankIndex(spark, f"{tmp_dir}/i", SCHEMA, "average", rows_per_file=10)
+    index.build(spark.createDataFrame(rows, SCHEMA))
+    plan = index.ranking()._jdf.queryExecution().analyzed().toString()
+    assert "lambdafunction" not in plan
